@@ -60,11 +60,13 @@ def fields_of(text: str) -> list[tuple[str, str]] | None:
     return out
 
 
-def canonical_batch(cps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The canonical characters of each text of a batch; empty where no letter or digit is left."""
-    cps, starts = forms.folded(cps, starts)
+def canonical_batch(cps: np.ndarray, starts: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The canonical characters of each text of a folded batch; empty where no letter or digit is left.
+
+    mask: forms.letter_mask of the batch.
+    """
     signs = cp.sums((cps == ord(":")) | (cps == ord("=")), starts)
-    plain, ends = cp.keep(forms.letter_mask(cps, starts), cps, starts)
+    plain, ends = cp.keep(mask, cps, starts)
     maybe = np.flatnonzero(signs >= 3)
     if not len(maybe):
         return plain, ends
@@ -79,13 +81,17 @@ def canonical_batch(cps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np
     return cp.from_strings(texts)
 
 
+def key_digests(cps: np.ndarray, starts: np.ndarray) -> list[bytes | None]:
+    return [k if n else None for k, n in zip(digests(cps, starts), np.diff(starts).tolist())]
+
+
 def canonical_keys(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, key: the 128-bit canonical key of every text that has one."""
     kind = dict(df.dtypes)[id_col]
 
     def make(part: pa.RecordBatch) -> pa.RecordBatch:
-        cps, starts = canonical_batch(*cp.from_arrow(part.column(1)))
-        keys = [k if n else None for k, n in zip(digests(cps, starts), np.diff(starts).tolist())]
+        cps, starts = forms.folded(*cp.from_arrow(part.column(1)))
+        keys = key_digests(*canonical_batch(cps, starts, forms.letter_mask(cps, starts)))
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.binary())], ["id", "key"])
 
     source = texts_of(df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull()), "id")

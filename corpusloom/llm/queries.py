@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import ledger, lookalikes, pairs, quality, repetition
+from . import ledger, lookalikes, overlap, pairs, quality, repetition
 from .common import written
 
 
@@ -39,6 +39,16 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.pair_defects(_table(spark, folder, "instructions"))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = overlap.split_overlaps(_table(spark, folder, "docs_dedup"), _table(spark, folder, "raw_files"))
+    return found.select(F.least("train_id", "eval_id").alias("doc_id_a"), F.greatest("train_id", "eval_id").alias("doc_id_b")).distinct()
+
+
+def p4_report(spark: SparkSession, folder: str) -> DataFrame:
+    docs, files = _table(spark, folder, "docs_dedup"), _table(spark, folder, "raw_files")
+    return overlap.overlap_report(written(overlap.split_overlaps(docs, files), "overlaps"), docs, files)
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalikes.lookalike_pairs(_table(spark, folder, "docs_dedup"))
 
@@ -58,6 +68,6 @@ def p6_shares(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.with_thresholds(shares).select("doc_id", "lang", "words", "repeated", "share", "threshold")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_scores, p2_found, p2_counts, p3_found, p5_found, p5_forms, p6_found, p6_shares)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_scores, p2_found, p2_counts, p3_found, p4_found, p4_report, p5_found, p5_forms, p6_found, p6_shares)}
 
 ORACLES: dict[str, str] = {}
