@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import ledger, lookalikes, overlap, pairs, quality, repetition
+from . import ledger, lookalikes, overlap, pairs, quality, repetition, sentences
 from .common import written
 
 
@@ -68,6 +68,10 @@ def p6_shares(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.with_thresholds(shares).select("doc_id", "lang", "words", "repeated", "share", "threshold")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_scores, p2_found, p2_counts, p3_found, p4_found, p4_report, p5_found, p5_forms, p6_found, p6_shares)}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return sentences.sentence_spans(_table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_scores, p2_found, p2_counts, p3_found, p4_found, p4_report, p5_found, p5_forms, p6_found, p6_shares, p9_found)}
 
 ORACLES: dict[str, str] = {}
