@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import ledger, lookalikes, overlap, pairs, quality, repetition, sentences
+from . import containers, ledger, lookalikes, mixing, overlap, pairs, quality, repetition, sentences, tokens
 from .common import written
 
 
@@ -68,10 +68,27 @@ def p6_shares(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.with_thresholds(shares).select("doc_id", "lang", "words", "repeated", "share", "threshold")
 
 
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    counts = written(tokens.token_counts(_table(spark, folder, "documents")), "tokens")
+    return containers.contain(counts, _table(spark, folder, "pack_plans"))
+
+
+def p7_usage(spark: SparkSession, folder: str) -> DataFrame:
+    return containers.usage(p7_containers(spark, folder), _table(spark, folder, "pack_plans"))
+
+
+def p8_chosen(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"), _table(spark, folder, "mixture"))[0]
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"), _table(spark, folder, "mixture"))[1]
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentence_spans(_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_scores, p2_found, p2_counts, p3_found, p4_found, p4_report, p5_found, p5_forms, p6_found, p6_shares, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_scores, p2_found, p2_counts, p3_found, p4_found, p4_report, p5_found, p5_forms, p6_found, p6_shares, p7_containers, p7_usage, p8_chosen, p8_shares, p9_found)}
 
 ORACLES: dict[str, str] = {}
