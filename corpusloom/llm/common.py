@@ -1,16 +1,17 @@
-"""What the operators of this package share: Arrow mapping in bounded slices and work folders."""
+"""What the operators of this package share: Arrow mapping in bounded slices, and keys."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import shared_folder, written  # noqa: F401
+
 #: Bytes of text that one NumPy slice holds; bounds a worker's memory whatever Arrow's batch size is.
 #: A single longer text makes a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -42,26 +43,6 @@ def texts_of(df: DataFrame, *columns: str, text: str = "text") -> DataFrame:
     return df.select(*columns, text).where(F.col(text).isNotNull() & (F.col(text) != ""))
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share: spark.checkpoint.dir of the session, where set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        # Unset only in local runs and tests, where driver and executors are one machine.
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """The rows written to the shared folder and read again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    writer = df.write.mode("errorifexists").option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def digests(cps: np.ndarray, starts: np.ndarray) -> list[bytes]:
     """A 128-bit digest of each text's code points."""
     import xxhash
