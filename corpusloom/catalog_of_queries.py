@@ -16,7 +16,7 @@ from .functions import text as T
 from .operators import bpe, corpus, evaluation, lineage, pieces, shards
 from .session import ship
 from .sources.lines import json_text
-from .storage import written
+from .storage import spread, written
 from .streaming.counts import sessions, windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,7 +47,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _documents(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     """id, normalised text and further columns of documents."""
     df = _table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", *extra)
-    return corpus.normalised(df)
+    return corpus.normalised(spread(df))
 
 
 def _hex(c: Column, width: int) -> Column:

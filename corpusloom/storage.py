@@ -23,3 +23,13 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     writer = df.write.mode("errorifexists").option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than the application has cores, spread over them; others as they are.
+
+    Small tables come as one file that can't be split; work per text would then use one core.  For
+    plain scans with projections and filters only: other plans would be run by asking.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
