@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import shared_folder, written  # noqa: F401
+from ..storage import shared_folder, spread, written  # noqa: F401
 
 #: Bytes of text that one NumPy slice holds; bounds a worker's memory whatever Arrow's batch size is.
 #: A single longer text makes a slice of its own.
@@ -39,8 +39,8 @@ def map_slices(df: DataFrame, text: str, make: Callable[[pa.RecordBatch], pa.Rec
 
 
 def texts_of(df: DataFrame, *columns: str, text: str = "text") -> DataFrame:
-    """Only the named columns of rows whose text is neither null nor empty."""
-    return df.select(*columns, text).where(F.col(text).isNotNull() & (F.col(text) != ""))
+    """Only the named columns of rows whose text is neither null nor empty.  df is a plain scan."""
+    return spread(df.select(*columns, text).where(F.col(text).isNotNull() & (F.col(text) != "")))
 
 
 def digests(cps: np.ndarray, starts: np.ndarray) -> list[bytes]:

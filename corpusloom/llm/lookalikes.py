@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import codepoints as cp
 from . import forms
-from .common import digests, map_slices, texts_of
+from .common import digests, map_slices, spread, texts_of
 
 
 def consistent_forms(df: DataFrame, id_col: str = "doc_id", text: str = "text", fold: bool = False) -> DataFrame:
@@ -29,7 +29,7 @@ def consistent_forms(df: DataFrame, id_col: str = "doc_id", text: str = "text",
         out = iter(forms.visual_strings([t for t in texts if t], fold))
         return pa.RecordBatch.from_arrays([part.column(0), pa.array([next(out) if t else None for t in texts], pa.string())], ["id", "form"])
 
-    rows = map_slices(df.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", make, f"id {kind}, form string")
+    rows = map_slices(spread(df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))), "text", make, f"id {kind}, form string")
     return rows.withColumnRenamed("id", id_col)
 
 
