@@ -12,7 +12,10 @@ import heapq
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -244,6 +247,24 @@ class Codec:
         return symbols
 
 
+def encode_lists(batch: pa.Array, codec: Codec) -> pa.Array:
+    """Token ids of lists of pieces; each distinct piece of the batch is encoded once."""
+    offsets = np.zeros(len(batch) + 1, np.int64)
+    np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False), out=offsets[1:])
+    kinds = batch.flatten().dictionary_encode()
+    coded = [codec.piece(p.encode()) for p in kinds.dictionary.to_pylist()]
+    sizes = np.array([len(c) for c in coded], np.int64)
+    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.zeros(0, np.int64)
+    flat = np.array([t for c in coded for t in c], np.int32)
+    at = kinds.indices.to_numpy(zero_copy_only=False)
+    n = sizes[at]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    take = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin[at], n)
+    lists = ends[offsets].astype(np.int32)
+    out = pa.ListArray.from_arrays(pa.array(lists), pa.array(flat[take] if len(flat) else flat))
+    return out if batch.null_count == 0 else pc.if_else(batch.is_valid(), out, pa.nulls(len(out), out.type))
+
+
 def encode(df: DataFrame, merges: list[tuple[int, int]], pattern: str, text: str = "text", into: str = "tokens", ids: list[int] | None = None, unk: int | None = None) -> DataFrame:
     """Token ids of every text: pieces on the JVM, merges per distinct piece in an Arrow batch function.
 
@@ -252,10 +273,9 @@ def encode(df: DataFrame, merges: list[tuple[int, int]], pattern: str, text: str
     """
     shared = df.sparkSession.sparkContext.broadcast((list(merges), ids, unk))
 
-    @F.pandas_udf("array<int>")
-    def run(batches: pd.Series) -> pd.Series:
-        codec = Codec(*shared.value)
-        return batches.map(lambda ps: None if ps is None else [t for p in ps for t in codec.piece(p.encode())])
+    @F.arrow_udf("array<int>")
+    def run(batch: pa.Array) -> pa.Array:
+        return encode_lists(batch, Codec(*shared.value))
 
     return df.withColumn(into, run(T.pieces(F.col(text), pattern)))
 
