@@ -87,6 +87,8 @@ def read_token_index(spark: SparkSession, folder: str) -> DataFrame:
 def read_packed(spark: SparkSession, path: str, seq_len: int, dtype: str = "uint16") -> DataFrame:
     """block_id, tokens of one packed file; its length must be a whole, positive number of blocks."""
     raw = spark.read.format("binaryFile").load(path).select(_ids(WIDTHS[dtype], dtype)("content").alias("t"))
+    if raw.isEmpty():  # Spark passes over empty files
+        raise ValueError(f"no whole number of blocks of {seq_len}: {path} is empty")
     n = F.size("t")
     checked = F.when((n > 0) & (n % seq_len == 0), F.col("t")).otherwise(F.raise_error(F.lit(f"no whole number of blocks of {seq_len}")).cast("array<int>"))
     return raw.select(checked.alias("t")).select(F.posexplode(F.expr(f"transform(sequence(0, cast(size(t) div {seq_len} as int) - 1), i -> slice(t, i * {seq_len} + 1, {seq_len}))")).alias("block_id", "tokens"))
