@@ -3,8 +3,9 @@
 Linear grouping, in shards of a bounded number of items: lengths above a fraction of the capacity
 are sorted and rounded up within groups of equal cardinality; the few rounded sizes are packed by a
 linear program over configurations (columns found by an integer knapsack), rounded down; actual
-documents take the places of their group; what is left is placed best-fit, large ones first, small
-ones last.  A document longer than a container fills containers of its own and only its rest is
+documents take the places of their group, the last place of a container the longest document that
+fits, which takes back what rounding up lost; what is left is placed best-fit, large ones first,
+small ones last.  A document longer than a container fills containers of its own and only its rest is
 placed with the others.
 
 Shards are drawn by hash of the id, so their number follows the data and none grows; each leaves at
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Groups of equal cardinality; fraction of the capacity above which an item is large.
-GROUPS, LARGE = 24, 0.08
+GROUPS, LARGE = 32, 0.08
 #: Items that one task packs.
 SHARD_ITEMS = 50_000
 
@@ -32,14 +33,18 @@ def best_column(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[f
     """The multiset of sizes within the capacity that has the greatest value, and that value."""
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
-    order = [i for i in range(len(sizes)) if values[i] > 1e-12]
+    order = np.flatnonzero(values > 1e-12)
+    order = order[np.argsort(sizes[order], kind="stable")]
+    size, value = sizes[order], values[order]
+    fits = np.searchsorted(size, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        top, pick = best[c - 1], -1
-        for i in order:
-            s = sizes[i]
-            if s <= c and best[c - s] + values[i] > top + 1e-12:
-                top, pick = best[c - s] + values[i], i
-        best[c], choice[c] = top, pick
+        best[c] = best[c - 1]
+        n = fits[c]
+        if n:
+            options = best[c - size[:n]] + value[:n]
+            i = int(options.argmax())
+            if options[i] > best[c] + 1e-12:
+                best[c], choice[c] = options[i], order[i]
     column = np.zeros(len(sizes))
     c = capacity
     while c > 0:
@@ -109,6 +114,26 @@ class _Bins:
         return b
 
 
+class _Stock:
+    """Items by length; finds the longest one up to a length in constant time."""
+
+    def __init__(self, lengths: np.ndarray, capacity: int):
+        self.at: list[list[int]] = [[] for _ in range(capacity + 1)]
+        for i in range(len(lengths) - 1, -1, -1):
+            self.at[lengths[i]].append(i)
+        self.mask = sum(1 << n for n, held in enumerate(self.at) if held)
+
+    def longest(self, most: int) -> int:
+        return (self.mask & ((1 << (most + 1)) - 1)).bit_length() - 1
+
+    def take(self, length: int) -> int:
+        held = self.at[length]
+        i = held.pop()
+        if not held:
+            self.mask &= ~(1 << length)
+        return i
+
+
 def pack(lengths: np.ndarray, capacity: int, groups: int = GROUPS, large: float = LARGE) -> np.ndarray:
     """The container of each item; every length is between 1 and the capacity.  Items come sorted, longest first."""
     n = len(lengths)
@@ -122,19 +147,26 @@ def pack(lengths: np.ndarray, capacity: int, groups: int = GROUPS, large: float
         first = np.flatnonzero(np.concatenate([[True], rounded[1:] != rounded[:-1]]))
         begin, sizes = cuts[:-1][first], rounded[first].astype(int)
         stop = np.concatenate([begin[1:], [big]])
-        used = begin.copy()
+        lows = lengths[stop - 1]
+        stock = _Stock(lengths[:big], capacity)
         for column, times in configurations(sizes, (stop - begin).astype(float), capacity):
-            need = np.flatnonzero(column)
+            slots = [i for i in np.flatnonzero(column) for _ in range(column[i])]
             for _ in range(times):
-                if any(used[i] + column[i] > stop[i] for i in need):
+                free, held = capacity, []
+                # Actual documents take the places of their groups.  What rounding left free goes to
+                # the last place, which takes the longest document that fits.
+                for i in slots[:-1]:
+                    top = stock.longest(min(free, int(sizes[i])))
+                    if top < lows[i]:
+                        continue
+                    held.append(stock.take(top))
+                    free -= top
+                while (top := stock.longest(free)) > 0:
+                    held.append(stock.take(top))
+                    free -= top
+                if not held:
                     break
-                free, b = capacity, len(bins.free)
-                for i in need:
-                    take = slice(used[i], used[i] + column[i])
-                    out[take] = b
-                    free -= int(lengths[take].sum())
-                    used[i] += column[i]
-                bins.add(free)
+                out[held] = bins.add(free)
     for i in np.flatnonzero(out < 0).tolist():
         out[i] = bins.place(int(lengths[i]))
     return out

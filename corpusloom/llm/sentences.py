@@ -6,8 +6,8 @@ open pair ends nothing unless the pair closes right behind it; behind the closin
 character, and in scripts without letter case the words of attribution, decide.  Full stops are
 checked backwards in a trie of abbreviations.
 
-Defined results: null and empty texts, and rows without an id, give no row; an id that comes more
-than once gives its sentences once; a text of white space only has no sentence; every other
+Defined results: null and empty texts, and rows without an id, give no row; ids are taken to be
+unique, a repeated row gives repeated rows (nothing is shuffled); a text of white space only has no sentence; every other
 character belongs to at most one sentence and every visible one to exactly one.
 """
 
@@ -46,6 +46,7 @@ _LINE = re.compile(r"[^\r\n]+")
 _MARK = re.compile(r"\s*(?:[-*•+·□■●▪◦‣–]|\(?\d{1,3}[.)]|\[\d{1,3}\]|\(?[a-z]\))[^\S\r\n]+(?=\S)")
 _OVER = re.compile(r"[.!?…。！？।؟．:：][\"”“»」』》)\]}’]*\s*\Z")
 _LONE = re.compile(r"[A-Z](?=\s+[^\sa-z,;:.)])")
+_LETTER_POINT = re.compile(r"\s?[^\W\d_]\.")
 _SPACE = re.compile(r"\s*")
 _CLOSING = re.compile(r"[^\S\r\n]?[\"”“»」』》)\]}’]")
 _OPENS = "\"“„«「『《([{¿¡‘'*"
@@ -143,11 +144,9 @@ def _ends(text: str, begin: int, a: int, b: int, close: int, end: int) -> bool:
         if before.isdigit() and after.isdigit():
             return False
         if "฀" <= before <= "๿":
-            i = a
-            while i > begin and "฀" <= text[i - 1] <= "๿":
-                i -= 1
-            if a - i <= 3:
-                return False
+            return False  # points only mark abbreviations in Thai
+        if before.islower() and (a - 1 == begin or not text[a - 2].isalnum()) and _LETTER_POINT.match(text, b, end):
+            return False  # the first letter of "z. B."
         kinds = _abbreviation(text, a, begin) if close == b else ""
         if "x" in kinds or "d" in kinds and nxt.isdigit():
             return False
