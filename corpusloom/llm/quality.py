@@ -184,7 +184,7 @@ def batch_statistics(cps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
         comma_short = short & (seg_words <= limit - 2) & ((kind == 1) | (opened == 1))
         item = short & ((marked & (kind != 0)) | (kind == 3) | (opened == 3)) | comma_short
         short_line = short & ~item & line_of_seg & (kind == 2)
-        # Line breaks, tabs, wide gaps and commas part items only where sentences don't end as often as
+        # Words of repeated stretches count once.  Line breaks, tabs, wide gaps and commas part items only where sentences don't end as often as
         # in prose: about once in 12 words, or 30 characters of an unspaced script.  Semicolons count as
         # ends where they stand as far apart as sentences' ends.
         semi = ends + cp.sums(cps == ord(";"), starts)
@@ -193,7 +193,7 @@ def batch_statistics(cps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
         gap = (at_end == 9) | (at_end == 32)
         soft_end = np.concatenate([t.comma[at_end] | gap, [False]])
         soft_open = np.concatenate([[False], soft_end[:-1]])
-        hard = short & ((marked & (kind != 0)) | ((kind == 3) & ~soft_end) | ((opened == 3) & ~soft_open))
+        hard = short & ((marked & (kind >= 2)) | ((kind == 3) & ~soft_end) | ((opened == 3) & ~soft_open))
         soft = item & ~hard
         # Gaps and tabs part cells only in texts that also lack common words or are full of numbers.
         numbers = (put["digit_share"] - 0.06) / 0.08
@@ -201,9 +201,10 @@ def batch_statistics(cps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
         few = np.where(latin | (lang == 0), (0.27 - common / some) / 0.07, 0.0)
         gapped = np.clip(np.maximum(few, numbers), 0, 1)
         by_gap = soft & (np.concatenate([gap, [False]]) | np.concatenate([[False], gap]))
-        soft_weight = cp.sums((soft & ~by_gap)[seg_of_word].astype(np.int64), at) + gapped * cp.sums(by_gap[seg_of_word].astype(np.int64), at)
-        put["short_line_share"][:] = cp.sums(short_line[seg_of_word].astype(np.int64), at) / some * flow
-        put["item_share"][:] = cp.sums(hard[seg_of_word].astype(np.int64), at) / some + soft_weight / some * flow
+        fresh = np.maximum(1, cp.sums(new, at))
+        soft_weight = cp.sums((soft & ~by_gap)[seg_of_word] & new, at) + gapped * cp.sums(by_gap[seg_of_word] & new, at)
+        put["short_line_share"][:] = cp.sums(short_line[seg_of_word] & new, at) / fresh * flow
+        put["item_share"][:] = cp.sums(hard[seg_of_word] & new, at) / fresh + soft_weight / fresh * flow
     put["item_share"][:] = np.clip(put["item_share"] + np.minimum(1, 6 * np.bincount(np.searchsorted(starts, leader, "right") - 1, minlength=n)[:n] / np.maximum(1, size)), 0, 1)
 
     # Common words; in scripts without spaces, characters or words that carry grammar.
