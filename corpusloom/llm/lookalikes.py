@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from . import codepoints as cp
 from . import forms
-from .common import digests, map_slices, spread, texts_of
+from .common import digests, map_slices, spread, texts_of, written
+
+#: Rows of one form that one part of the join takes.
+SALT_ROWS = 20_000
 
 
 def consistent_forms(df: DataFrame, id_col: str = "doc_id", text: str = "text", fold: bool = False) -> DataFrame:
@@ -51,12 +54,16 @@ def form_keys(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
 def lookalike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id_a < doc_id_b of each pair with one consistent form and different characters.
 
-    One shuffle on the form's key carries keys and ids only.  Forms with a single writing leave
-    before the pairs are built; the join of what is left may be split by AQE where a form is hot.
+    Shuffles carry keys and ids only.  Forms with a single writing leave before pairs are built.
+    The pairs come from a join salted by the number of rows of the form: a hot form's rows are
+    spread over as many parts as it needs, one side in each, the other in all.
     """
-    keys = form_keys(df, id_col, text).groupBy("form_key", "raw_key").agg(F.collect_set(id_col).alias("ids"))
-    # ids of one writing: exact copies.  A form's writings meet below; copies of one writing never pair.
-    a, b = keys.select("form_key", F.col("raw_key").alias("raw_a"), F.col("ids").alias("ids_a")), keys.select("form_key", F.col("raw_key").alias("raw_b"), F.col("ids").alias("ids_b"))
-    met = a.join(b, "form_key").where(F.col("raw_a") < F.col("raw_b"))
-    both = met.select("ids_b", F.explode("ids_a").alias("x")).select("x", F.explode("ids_b").alias("y"))
+    keys = written(form_keys(df, id_col, text).distinct(), "form-keys")
+    writings = keys.groupBy("form_key", "raw_key").agg(F.count("*").alias("n"))
+    forms_ = writings.groupBy("form_key").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where("kinds > 1")
+    salted = forms_.select("form_key", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts"))
+    met = keys.join(salted, "form_key")
+    a = met.select("form_key", F.col("raw_key").alias("raw_a"), F.col(id_col).alias("x"), F.pmod(F.xxhash64(id_col), F.col("salts")).cast("int").alias("salt"))
+    b = met.select("form_key", F.col("raw_key").alias("raw_b"), F.col(id_col).alias("y"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    both = a.join(b, ["form_key", "salt"]).where(F.col("raw_a") < F.col("raw_b"))
     return both.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")).distinct()
