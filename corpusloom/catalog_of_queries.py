@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
+from .functions.registered import register
 from .operators import bpe, corpus, evaluation, lineage, pieces, shards
 from .session import ship
 from .sources.lines import json_text
@@ -284,6 +285,25 @@ def decode_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.decode(tokens, bpe.vocabulary(spark, merges, SPECIALS)).select("doc_id", "text")
 
 
+@query("SELECT example_id, CAST(generate_subscripts(b, 1) - 1 AS INT) AS pos, CAST('0x' || unnest(b) AS INT) AS token FROM (SELECT DISTINCT example_id, regexp_extract_all(hex(encode(coalesce(output, ''))), '..') AS b FROM instructions)")
+def bpe_tokens_table(spark: SparkSession, folder: str) -> DataFrame:
+    register(spark, [], T.PATTERNS["gpt2_fast"])
+    rows = _table(spark, folder, "instructions").select("example_id", "output").distinct()
+    return spark.sql("SELECT d.example_id, t.pos, t.token FROM {d} d, LATERAL bpe_tokens(d.output) t", d=rows)
+
+
+@query(f"WITH {DOCS} SELECT doc_id, text FROM docs")
+def sql_functions(spark: SparkSession, folder: str) -> DataFrame:
+    register(spark, [(116, 104)], T.PATTERNS["gpt2_fast"])
+    rows = _table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return spark.sql("SELECT doc_id, bpe_decode(bpe_encode(corpus_normalise(text, 'none'))) AS text FROM {d}", d=rows)
+
+
+@query(f"WITH {DOCS}, o AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM docs) SELECT doc_id FROM o WHERE k >= 150")
+def resumed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus.from_ordinal(_documents(spark, folder).select("doc_id"), 150, ["doc_id"])
+
+
 # ---- shards and blocks
 
 

@@ -69,3 +69,8 @@ def dedup_stats(df: DataFrame, text: str = "text") -> DataFrame:
 def numbered(df: DataFrame, order: list[str], name: str = "line_no") -> DataFrame:
     """1-based numbers in a total order."""
     return ordinal(df, order, name=name).withColumn(name, F.col(name) + 1)
+
+
+def from_ordinal(df: DataFrame, first: int, order: list[str]) -> DataFrame:
+    """The rows from a place in the order on: what a resumed reader still has to see."""
+    return ordinal(df, order, name="_ord").where(F.col("_ord") >= first).drop("_ord")

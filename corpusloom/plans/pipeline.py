@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import text as T
 from ..operators import bpe, corpus, pieces, shards
 from ..session import ship
@@ -104,6 +105,15 @@ def count_words(spark: SparkSession, cfg: dict, paths: list[str], pattern: str)
     return pieces.word_inventory(counts, data["min_piece_freq"], cfg["bpe"]["max_word_types"])
 
 
+def counted_words(spark: SparkSession, cfg: dict, run: A.Run, paths: list[str], pattern: str, meta: dict, resume: bool) -> DataFrame:
+    """The word inventory, kept in the run's folder; a resumed run of the same inputs and settings reads it again."""
+    where, side = run.folder / "words", run.folder / "words.meta.json"
+    if not (resume and where.exists() and A.read_json(side) == meta):
+        count_words(spark, cfg, paths, pattern).write.mode("overwrite").parquet(str(where))
+        A.write_json(side, meta)
+    return spark.read.schema(schemas.WORDS).parquet(str(where))
+
+
 def train_tokenizer(spark: SparkSession, cfg: dict, run_id: str | None = None, resume: bool = False, stop_after: int | None = None) -> str | None:
     """Learns merges and writes the tokenizer; with stop_after it stops early, to be resumed under the same run id."""
     configs.check_tokenizer(cfg)
@@ -118,7 +128,7 @@ def train_tokenizer(spark: SparkSession, cfg: dict, run_id: str | None = None, r
     if run is None:
         return name
     meta = {"config_hash": run.config_hash, "pattern_hash": pattern_hash}
-    words = written(count_words(spark, cfg, [str(p) for p in found], pattern), "words")
+    words = counted_words(spark, cfg, run, [str(p) for p in found], pattern, meta | {"files": print_of}, resume)
     merges = bpe.target_merges(int(cfg["bpe"]["vocab_size"]), len(cfg["special_tokens"]["tokens"]), cfg["bpe"]["max_merges"])
     log_path = run.folder / "merges.wal"
     if log_path.exists() and not resume:
@@ -167,8 +177,11 @@ def tokenize(spark: SparkSession, cfg: dict, run_id: str | None = None, resume:
     tokens = bpe.encode(docs.select("doc_id", "text"), loaded["merges"], pattern, ids=loaded["ids"], unk=loaded["unk"]).select("doc_id", "tokens")
     ended = shards.with_end(tokens, loaded["eos"], out["append_eos"]).withColumn("length", F.size("tokens"))
     placed = shards.sharded(ended, int(out["docs_per_shard"]), ["doc_id"])
-    index = interchange.write_token_shards(placed, str(folder), out["token_dtype"]).collect()  # a row a shard
-    listed = sorted((r.asDict() for r in index), key=lambda r: r["shard"])
+    # Shards that an interrupted run finished stay; their index file is written last.
+    done = {d["shard"]: d for d in interchange.finished_shards(folder)} if resume else {}
+    todo = placed.where(~F.col("shard").isin(*done)) if done else placed
+    index = interchange.write_token_shards(todo, str(folder), out["token_dtype"]).collect()  # a row a shard
+    listed = sorted([*done.values(), *(r.asDict() for r in index)], key=lambda r: r["shard"])
     stats = {"num_docs": sum(r["num_docs"] for r in listed), "total_tokens": sum(r["num_tokens"] for r in listed), "num_shards": len(listed)}
     A.write_json(folder / "index.json", {"shards": listed, "token_dtype": out["token_dtype"], **stats})
     return _commit(root, name, folder, run, "tokens", [_as_input(source), _as_input(tokenizer)], stats, {"token_dtype": out["token_dtype"]})

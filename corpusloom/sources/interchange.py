@@ -58,6 +58,24 @@ def write_token_shards(df: DataFrame, folder: str, dtype: str = "uint16") -> Dat
     return df.groupBy("shard").applyInPandas(run, "shard int, num_docs bigint, num_tokens bigint, sha256 string")
 
 
+def finished_shards(folder: Path) -> list[dict]:
+    """Shard, documents, tokens and digest of each shard that has its index file."""
+    out = []
+    for side in sorted(folder.glob("tokens_shard_*.idx.json")):
+        record, binary = artifacts.read_json(side), side.with_name(side.name.replace(".idx.json", ".bin"))
+        out.append({"shard": record["shard"], "num_docs": len(record["docs"]), "num_tokens": binary.stat().st_size // np.dtype(WIDTHS[record["dtype"]]).itemsize, "sha256": files.sha256(binary)})
+    return out
+
+
+def write_evaluation(folder: Path, report: DataFrame, samples: list[str]) -> dict:
+    """eval.json of a one-row report, and the samples as text."""
+    row = report.first()
+    value = row.asDict() if row else {}
+    artifacts.write_json(folder / "eval.json", value)
+    artifacts.write_atomic(folder / "samples.txt", ("\n\n".join(samples) + "\n").encode())
+    return value
+
+
 def _ids(width: str, dtype: str):
     @F.pandas_udf("array<int>")
     def run(content: pd.Series) -> pd.Series:

@@ -63,6 +63,28 @@ def test_resumed_training_is_whole_training(spark, raw, tmp_path):
     assert (folder / "merges.txt").read_text() == merges and len(merges.splitlines()) == 5
 
 
+def test_interrupted_shards_are_kept(spark, raw):
+    root = raw / "artifacts"
+    pipeline.build_corpus(spark, config(raw, "corpus", data={"input_paths": [str(raw / "raw")], "min_chars": 1}), "r")
+    pipeline.train_tokenizer(spark, tokenizer(raw), "r")
+    cfg = config(raw, "tokens", output={"docs_per_shard": 2})
+    name = pipeline.tokenize(spark, cfg, "r")
+    folder = root / "tokens" / name
+    before = A.read_json(folder / "index.json")
+    (folder / A.MANIFEST).unlink()
+    (folder / "tokens_shard_00001.idx.json").unlink()
+    kept = (folder / "tokens_shard_00000.bin").stat().st_mtime_ns
+    assert pipeline.tokenize(spark, cfg, "r", resume=True) == name
+    assert A.read_json(folder / "index.json") == before
+    assert (folder / "tokens_shard_00000.bin").stat().st_mtime_ns == kept
+
+
+def test_evaluation_files(spark, tmp_path):
+    report = spark.createDataFrame([(1.5, 4.48)], "eval_loss double, perplexity double")
+    assert interchange.write_evaluation(tmp_path, report, ["a", "b"])["eval_loss"] == 1.5
+    assert (tmp_path / "samples.txt").read_text() == "a\n\nb\n"
+
+
 def test_checks(raw):
     good = tokenizer(raw)
     configs.check_tokenizer(good)
