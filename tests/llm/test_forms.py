@@ -45,3 +45,14 @@ def test_pairs(spark):
     formed = {r["doc_id"]: r["form"] for r in consistent_forms(df).where("doc_id < 'h'").collect()}
     assert formed == {"a": "Hi café", "b": "Hi café", "c": "Hi café", "d": "Hi café", "e": "hi café", "f": None, "g": None}
     assert consistent_forms(df, fold=True).where("doc_id = 'b'").first()["form"] == "hi café"
+
+
+def test_hot_form_is_salted(spark, monkeypatch):
+    from corpusloom.llm import lookalikes
+
+    rows = [(f"a{i:02d}", "Hi there") for i in range(20)] + [(f"b{i:02d}", "Ｈi there") for i in range(13)] + [("c", "Hi thеre")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    expect = {(a, b) for a, t in rows for b, u in rows if a < b and t != u}
+    for size in (3, 10_000):
+        monkeypatch.setattr(lookalikes, "SALT_ROWS", size)
+        assert {tuple(r) for r in lookalike_pairs(df).collect()} == expect

@@ -40,3 +40,9 @@ def test_fields():
     assert ledger.fields_of('[ {"a": 1, "b": [2]} ]') == [("a", "1"), ("b", "[2]")]
     for text in ("Vevel: One.\nYsfan: Two.\nVevel: Three.", "no fields here", "a: 1", "a: 1; b: 2", "{broken", ""):
         assert ledger.fields_of(text) is None
+
+
+def test_hot_group(spark):
+    rows = [(f"{i:04d}", "The SAME text!" if i % 3 == 0 else f"text {i}") for i in range(900)]
+    found = ledger.hidden_copies(table(spark, rows)).collect()
+    assert {r["keep_doc_id"] for r in found} == {"0000"} and len({r["copy_doc_id"] for r in found}) == len(found) == 299
