@@ -70,9 +70,12 @@ def _without_math(cps: np.ndarray, starts: np.ndarray) -> np.ndarray:
     begin, end = cp.runs(~_tables.space[cps], starts)
     count = np.concatenate([[0], np.cumsum(mark)])
     hidden = count[end] > count[begin]
+    # The blank behind a hidden part goes with it, else a gap would be left.
+    tail = np.minimum(end + 1, np.append(begin[1:], len(cps)))
+    tail = np.where((end < len(cps)) & (cps[np.minimum(end, len(cps) - 1)] == 32), tail, end)
     edge = np.zeros(len(cps) + 1, np.int64)
     edge[begin[hidden]] += 1
-    edge[end[hidden]] -= 1
+    edge[tail[hidden]] -= 1
     return np.cumsum(edge[:-1]) == 0
 
 
