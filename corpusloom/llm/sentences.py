@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_slices, texts_of
+from .language import COMMON
 
 # Abbreviations (without the last point) after which no sentence ends.
 NEVER = """e.g; i.e; cf; vs; approx; mr; mrs; ms; dr; prof; st; lt; capt; col; gen; sgt; rev; hon; messrs; mt; ft; ca; viz; resp
@@ -185,6 +186,28 @@ def _ends(text: str, begin: int, a: int, b: int, close: int, end: int) -> bool:
     return True
 
 
+@functools.cache
+def _openers() -> frozenset[str]:
+    """English words that open a sentence and don't follow an article or pronoun with a capital."""
+    return frozenset(COMMON["en"].split()) | {"choose", "suppose", "stop", "load", "version", "however", "dr", "mr", "mrs"}
+
+
+def _lone(text: str, begin: int, end: int) -> int:
+    """End of a capital that stands alone before the start of a sentence, else begin.
+
+    "A" and "I" are words of their own: they count only before a word that opens a sentence.
+    """
+    m = _LONE.match(text, begin, end)
+    if not m:
+        return begin
+    if m[0] in "AI":
+        k = _SPACE.match(text, m.end()).end()
+        word = re.match(r"[^\W\d_]*", text[k : k + 24])[0]
+        if len(word) > 1 and word.lower() not in _openers():
+            return begin
+    return m.end()
+
+
 def _prose(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
     """Sentences of running text."""
     pairs = _pairs(text, start, end)
@@ -200,13 +223,13 @@ def _prose(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
         if stop > begin:
             out.append((begin, stop))
         begin = _SPACE.match(text, at).end()
-        while begin < end and (m := _LONE.match(text, begin, end)):
-            # A capital alone before the start of a sentence is a fragment of its own.
-            out.append((begin, m.end()))
-            begin = _SPACE.match(text, m.end()).end()
+        while begin < end and (at := _lone(text, begin, end)) > begin:
+            # A fragment of its own.
+            out.append((begin, at))
+            begin = _SPACE.match(text, at).end()
 
-    if begin < end and (m := _LONE.match(text, begin, end)) and begin == start:
-        cut(m.end())
+    if begin < end and begin == start and (at := _lone(text, begin, end)) > begin:
+        cut(at)
     for m in _EVENT.finditer(text, start, end):
         a, b = m.span()
         if a < skip:

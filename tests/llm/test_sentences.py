@@ -16,6 +16,7 @@ CASES = [
     ["* reason at the night market", "\n", "* battery", "\n", "* In the back room, it closed. And it slept."],
     ["1. green tunnel", "\n", "2. Every cable needs a pond.", "\n", "10) old map"],
     ["It went to step\n893 of the map.", " ", "Let $B$ be a ring with $", " ", "The river slept.", " ", "Y", " ", "The tree is prime.", " ", "= 851$.", " ", "It slept."],
+    ["A German ship sank.", " ", "I Claudius saw it.", " ", "A", " ", "The tree is prime."],
     ["„Wo ist die Wirtin?“, fragte Omnid.", " ", "Das kostet 9,13 Taler, d. h. fast nichts.", " ", "Haus Nr. 18 gehört Frau Mimar bzw. Ann!", " ", "Am 3. März schlief er, z. B. über dem Bach usw.", " ", "„Der Förster schlief.“", " ", "Er ging."],
     ["« Où est le jardinier ? » demanda Rutan.", " ", "M. Omtin dormait, p. ex. au marché, c.-à-d. ici.", " ", "« Une chatte trouva une oie. »", " ", "Mme Bara pesa le panier !"],
     ["¿Dónde está el herrero?", " ", "«Una gata encontró el mapa.»", " ", "El Sr. Nivelin y la Dra. Bara, en el núm. 14, p. ej. al lado, dormían.", " ", "¡Mi tío pintó!"],
