@@ -40,9 +40,9 @@ def fields_of(text: str) -> list[tuple[str, str]] | None:
     if 0 <= a < b and not _LETTER.search(text, 0, a) and not _LETTER.search(text, b):
         try:
             found = json.loads(text[a : b + 1])
-        except ValueError:
+        except (ValueError, RecursionError):  # not JSON, or nested too deep
             found = None
-        if isinstance(found, dict):
+        if isinstance(found, dict) and found:
             return [(str(k), v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, sort_keys=True)) for k, v in found.items()]
     out: list[tuple[str, str]] = []
     loose = 0

@@ -91,30 +91,21 @@ def _abbreviation(text: str, stop: int, start: int) -> str:
 def _pairs(text: str, start: int, end: int) -> dict[int, int]:
     """Place of the closing sign for each opening one that has it, found with a stack."""
     stack: list[tuple[str, int]] = []
+    held: dict[str, int] = {}  # open signs by kind, so that no search of the stack is in vain
     out: dict[int, int] = {}
     for m in _PAIR.finditer(text, start, end):
         c, i = m[0], m.start()
-        if c == '"':
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == '"':
-                    out[stack[k][1]] = i
-                    del stack[k:]
+        partners = '"' if c == '"' else _PARTNER.get(c, "")
+        if any(held.get(p) for p in partners):
+            while stack:
+                sign, place = stack.pop()
+                held[sign] -= 1
+                if sign in partners:
+                    out[place] = i
                     break
-            else:
-                stack.append((c, i))
-            continue
-        partners = _PARTNER.get(c)
-        if partners:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in partners:
-                    out[stack[k][1]] = i
-                    del stack[k:]
-                    break
-            else:
-                if c == "“":
-                    stack.append((c, i))
-            continue
-        stack.append((c, i))
+        elif not partners or c in '"“':
+            stack.append((c, i))
+            held[c] = held.get(c, 0) + 1
     return out
 
 
