@@ -25,16 +25,18 @@ from . import codepoints as cp
 from . import forms
 from .common import digests, map_slices, shared_folder, texts_of, written
 
+#: Named fields from which on a text has an order to set aside.
+LEAST_FIELDS = 2
 _FIELD = re.compile(r"\s*([^:=]{1,48}?)\s*[:=]\s*(.*)", re.S)
 _LETTER = re.compile(r"[^\W_]")
 _SPLIT = re.compile(r"[\n;|\t]+")
 
 
-def fields_of(text: str) -> list[tuple[str, str]] | None:
+def fields_of(text: str, least: int = 3) -> list[tuple[str, str]] | None:
     """Name and value of each field of a text made of named fields, else None.
 
     JSON objects, and "name: value" parts between line breaks, semicolons, bars or tabs.  A part
-    without a name carries on the value before it.  Names must differ and be three at least.
+    without a name carries on the value before it.  Names must differ and, outside JSON, be `least` at least.
     """
     a, b = text.find("{"), text.rfind("}")
     if 0 <= a < b and not _LETTER.search(text, 0, a) and not _LETTER.search(text, b):
@@ -55,7 +57,7 @@ def fields_of(text: str) -> list[tuple[str, str]] | None:
                 return None
             loose += 1
             out[-1] = (out[-1][0], out[-1][1] + " " + part)
-    if len(out) < 3 or loose > len(out) or len({n for n, _ in out}) < len(out):
+    if len(out) < least or loose > len(out) or len({n for n, _ in out}) < len(out):
         return None
     return out
 
@@ -67,10 +69,10 @@ def canonical_batch(cps: np.ndarray, starts: np.ndarray, mask: np.ndarray) -> tu
     """
     signs = cp.sums((cps == ord(":")) | (cps == ord("=")), starts)
     plain, ends = cp.keep(mask, cps, starts)
-    maybe = np.flatnonzero(signs >= 3)
+    maybe = np.flatnonzero(signs >= 2)
     if not len(maybe):
         return plain, ends
-    found = [(i, f) for i in maybe.tolist() if (f := fields_of("".join(map(chr, cps[starts[i] : starts[i + 1]])) if starts[i + 1] - starts[i] < 64 else cps[starts[i] : starts[i + 1]].tobytes().decode("utf-32-le", "surrogatepass")))]
+    found = [(i, f) for i in maybe.tolist() if (f := fields_of("".join(map(chr, cps[starts[i] : starts[i + 1]])) if starts[i + 1] - starts[i] < 64 else cps[starts[i] : starts[i + 1]].tobytes().decode("utf-32-le", "surrogatepass"), LEAST_FIELDS)) and (len(f) > 1 or signs[i] > 2)]
     if not found:
         return plain, ends
     clean = iter(forms.letters([s for _, f in found for pair in f for s in pair]))

@@ -46,3 +46,12 @@ def test_hot_group(spark):
     rows = [(f"{i:04d}", "The SAME text!" if i % 3 == 0 else f"text {i}") for i in range(900)]
     found = ledger.hidden_copies(table(spark, rows)).collect()
     assert {r["keep_doc_id"] for r in found} == {"0000"} and len({r["copy_doc_id"] for r in found}) == len(found) == 299
+
+
+def test_two_fields(spark):
+    rows = [
+        ("a", '{"prompt": "Big book", "completion": "A 1"}'), ("b", '{"completion": "a1", "prompt": "BIG BOOK"}'), ("c", "completion: A1\nprompt: big book"), ("d", '{"prompt": "A 1", "completion": "Big book"}'),
+        ("e", "shelf: A 1; title: Mill"), ("f", "TITLE = mill | SHELF = a1"), ("g", '{"only": "one field"}'), ("h", "Only one field"),
+    ]
+    found = {tuple(r) for r in ledger.hidden_copies(table(spark, rows)).collect()}
+    assert found == {("a", "b"), ("a", "c"), ("e", "f"), ("g", "h")}
