@@ -51,6 +51,10 @@ ASKS_COPY = re.compile(r"\b(repeat|copy|fix|correct|quote|proofread|echo|retype|
 ASKS_OTHER = re.compile(r"\b(translat\w*|render in|put th\w+ in(?:to)?|(?:in|into|to) (?:english|german|french|spanish|russian|chinese|japanese|hindi|arabic|thai)|übersetz\w*|auf (?:deutsch|englisch|französisch|spanisch|russisch)|traduis\w*|traduir\w*|traduce\w*|tradu[cz]\w*|en (?:anglais|allemand|espagnol|russe|français|inglés|alemán|francés|ruso|español)|перевед\w*|по-(?:английски|немецки|французски|испански))\b|翻译|译成|译为|翻訳|訳して|英語で|ترجم|अनुवाद|แปล", re.I)
 ASKS_REFUSAL = re.compile(r"\b(turns? down|declin\w*|refus\w*|reject\w*|say(?:s|ing)? no|ablehn\w*|absag\w*|lehnt\b.*\bab|rechaz\w*|declin\w*|отказ\w*|отклон\w*)\b|拒绝|婉拒|谢绝|断る|断り|رفض|मना|ปฏิเสธ", re.I)
 ASKS_SHORT = re.compile(r"\b(title|name the|list|headline|caption|titel|nenne|titre|nomme|título|nombra|название|назови|list[ae]|compute|work out|what is \d|code|python|sql|regex)\b|标题|列出|题目", re.I)
+#: Ends of a Thai text that something must follow: a vowel written before its consonant, or a word that opens a clause.
+_THAI_OPEN = re.compile(r"(?:[เแโใไ]|และ|แต่|เพราะ|ซึ่ง|เพื่อ|ได้แก่|เมื่อ|หาก|ถ้า|จะ|(?<!ก)ว่า|คือ)$")
+#: What turns from a refusal to an answer.
+_ANSWERS = re.compile(r"\b(?:however|instead|that said|nevertheless|here (?:is|are)|but (?:i can(?!['’]t|not|\s+not)|here)|stattdessen|dennoch|jedoch|hier (?:ist|sind)|cependant|toutefois|voici|sin embargo|aquí (?:está|tienes)|однако|но вот|вместо этого)\b|但是|不过|以下是|しかし|ただし|以下は|ولكن|ومع ذلك|लेकिन|हालाँकि|แต่|อย่างไรก็ตาม|```", re.I)
 _SENTENCE_END = re.compile(r"[.!?…。！？।؟．]")
 _OPEN, _CLOSE = "([{“«「『《„", ")]}”»」』》"
 _PAIR = {")": "(", "]": "[", "}": "{", "”": "“„", "»": "«", "」": "「", "』": "『", "》": "《", "“": "„"}
@@ -209,7 +213,7 @@ def cut_off(prompt: str, response: str) -> bool:
     wide = sum(0x3040 <= ord(c) <= 0x9FFF or 0xE00 <= ord(c) <= 0xE7F for c in text) * 2 > len(text)
     thai = sum(0xE00 <= ord(c) <= 0xE7F for c in text) * 2 > len(text)
     if thai:
-        return False  # Thai sentences need no sign at their end
+        return bool(_THAI_OPEN.search(body))  # Thai sentences need no sign at their end
     if earlier and not re.search(r"[{};=]|->|\bdef\b|\breturn\b", lines[-1]):
         return True
     if wide:
@@ -230,6 +234,15 @@ def _asks(pattern: re.Pattern, prompt: str) -> bool:
     return bool(pattern.search(head))
 
 
+def _only_refuses(response: str, refusal) -> bool:
+    """Whether a long response opens by declining, in its own words, and goes on without turning to an answer."""
+    parts = re.split(r"(?<=[.!?।؟])\s+|(?<=[。！？])|\n+", response.strip())
+    for k, part in enumerate(parts[:2]):
+        if any(True for _ in refusal.iter(forms.letters([part])[0])):
+            return not re.search("[\"“”«»„「『]", part) and not _ANSWERS.search(" ".join(parts[k:]))
+    return False
+
+
 def batch_defects(prompts: list[str | None], responses: list[str | None]) -> list[str | None]:
     """The defect of each pair, or None."""
     n = len(prompts)
@@ -253,7 +266,7 @@ def batch_defects(prompts: list[str | None], responses: list[str | None]) -> lis
             out.append("empty")
             continue
         hit = next((e for e, _ in refusal.iter(letters)), None)
-        if hit is not None and hit < 170 and len(letters) < 320 and not _asks(ASKS_REFUSAL, prompt):
+        if hit is not None and hit < 170 and (len(letters) < 320 or _only_refuses(response, refusal)) and not _asks(ASKS_REFUSAL, prompt):
             out.append("refusal")
             continue
         if pl[i] and not _asks(ASKS_COPY, prompt):

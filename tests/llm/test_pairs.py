@@ -52,3 +52,13 @@ def test_table(spark):
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "example_id bigint, instruction string, output string, defect string, id int")
     assert sorted(map(tuple, pair_defects(df).collect())) == [(1, "empty"), (3, "truncated")]
     assert pair_defects(df.where("false")).count() == 0
+
+
+def test_long_refusals_and_thai_ends():
+    why = " ".join(f"The subject of point {k} is one that my rules leave to trained people, who know the place and the law." for k in range(8))
+    refusal = "I'm sorry, but I can't help with that request."
+    story = "The goose came to the mill. " + why
+    thai = "แมวสีเทานอนอยู่บนหลังคาบ้าน มันเห็นนกตัวหนึ่ง"
+    prompts = ["Tell a story about a goose and a mill."] * 4 + ["อธิบายเรื่องแมว"] * 4
+    responses = [f"{refusal} {why}", f"{refusal} However, here is a story. {story}", f"“{refusal}” said the goose. {story}", story, thai, thai + " และ", thai + "เพราะ", thai + " ซึ่งดีกว่า"]
+    assert batch_defects(prompts, responses) == ["refusal", None, None, None, None, "truncated", "truncated", None]
