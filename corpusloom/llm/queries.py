@@ -44,9 +44,13 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.least("train_id", "eval_id").alias("doc_id_a"), F.greatest("train_id", "eval_id").alias("doc_id_b")).distinct()
 
 
+def p4_links(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap.overlap_links(*overlap.overlaps(_table(spark, folder, "docs_dedup"), _table(spark, folder, "raw_files")))
+
+
 def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     docs, files = _table(spark, folder, "docs_dedup"), _table(spark, folder, "raw_files")
-    return overlap.overlap_report(written(overlap.split_overlaps(docs, files), "overlaps"), docs, files)
+    return overlap.overlap_report(overlap.overlap_links(*overlap.overlaps(docs, files)), docs, files)
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,6 +93,6 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentence_spans(_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_scores, p2_found, p2_counts, p3_found, p4_found, p4_report, p5_found, p5_forms, p6_found, p6_shares, p7_containers, p7_usage, p8_chosen, p8_shares, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_scores, p2_found, p2_counts, p3_found, p4_found, p4_links, p4_report, p5_found, p5_forms, p6_found, p6_shares, p7_containers, p7_usage, p8_chosen, p8_shares, p9_found)}
 
 ORACLES: dict[str, str] = {}
