@@ -61,15 +61,18 @@ def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalikes.consistent_forms(_table(spark, folder, "docs_dedup").where("text <> ''")).distinct()
 
 
+def _shares(spark: SparkSession, folder: str) -> DataFrame:
+    shares = repetition.repeated_shares(_table(spark, folder, "docs_dedup"))
+    return written(repetition.named_sources(shares, _table(spark, folder, "raw_files")), "shares")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    shares = written(repetition.repeated_shares(_table(spark, folder, "docs_dedup")), "shares")
-    # The adaptive filter keeps everything from two fifths on; the statement's cut is exact.
-    return repetition.repetitive(shares).where(F.col("repeated") * 5 >= F.col("words") * 2).select("doc_id")
+    # The adaptive thresholds propose, the statement's two fifths are checked behind them.
+    return repetition.repetitive(_shares(spark, folder)).where(F.col("repeated") * 5 >= F.col("words") * 2).select("doc_id")
 
 
 def p6_shares(spark: SparkSession, folder: str) -> DataFrame:
-    shares = written(repetition.repeated_shares(_table(spark, folder, "docs_dedup")), "shares")
-    return repetition.with_thresholds(shares).select("doc_id", "lang", "words", "repeated", "share", "threshold")
+    return repetition.with_thresholds(_shares(spark, folder)).select("doc_id", "lang", "source", "words", "repeated", "share", "threshold")
 
 
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:

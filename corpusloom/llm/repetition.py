@@ -2,8 +2,10 @@
 
 `repeated_shares` measures, for every document, the share of words that lie in a stretch which
 already occurred earlier in the same text.  `repetitive` filters by thresholds that adapt to each
-language and source: quantile sketches (KLL) of the shares are aggregated per language and source,
-merge in any order, and their quantiles replace one fixed cutoff.
+language and source, in place of one fixed cutoff: quantile sketches (KLL) of the shares are made per
+language and source and merged per language and over all.  A group's threshold is the upper fence of
+its quartiles; groups of few documents take that of the level above, and no group's threshold lies
+above that of the level above, so that a source full of repetition doesn't excuse its own documents.
 
 Defined results: null and empty texts, and rows without an id, are left out; an id that comes more
 than once counts once; a text without words has share 0; null sources form a group of their own.
@@ -63,19 +65,38 @@ def repeated_shares(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     return rows.dropDuplicates(["id"]).withColumnRenamed("id", id_col)
 
 
-def adaptive_thresholds(shares: DataFrame, spread: float = 1.5) -> DataFrame:
-    """lang, source, threshold: upper quartile plus spread times the quartiles' distance, from sketches."""
-    sketches = shares.groupBy("lang", "source").agg(F.kll_sketch_agg_double("share").alias("sketch"))
-    low, high = F.kll_sketch_get_quantile_double("sketch", F.lit(0.25)), F.kll_sketch_get_quantile_double("sketch", F.lit(0.75))
-    return sketches.select("lang", "source", (high + spread * (high - low)).alias("threshold"))
+def named_sources(shares: DataFrame, files: DataFrame) -> DataFrame:
+    """The shares with the corpus of their file as source: groups large enough to have quartiles."""
+    corpora = files.where("path is not null").groupBy(F.col("path").alias("_path")).agg(F.min("corpus").alias("_corpus"))
+    return shares.join(corpora, F.col("source") == F.col("_path"), "left").withColumn("source", F.col("_corpus")).drop("_path", "_corpus")
 
 
-def with_thresholds(shares: DataFrame, spread: float = 1.5) -> DataFrame:
+def adaptive_thresholds(shares: DataFrame, fence: float = 1.5, least: int = 100) -> DataFrame:
+    """lang, source, threshold: upper quartile plus fence times the quartiles' distance, from merged sketches.
+
+    least: documents from which on a group has a threshold of its own.
+    """
+    fine = shares.groupBy("lang", "source").agg(F.kll_sketch_agg_double("share").alias("own"))
+    per_lang = fine.groupBy(F.col("lang").alias("_l")).agg(F.kll_merge_agg_double("own").alias("middle"))
+    whole = per_lang.groupBy(F.lit(1).alias("_one")).agg(F.kll_merge_agg_double("middle").alias("whole"))
+    # A row a group: their number is that of languages times sources, not of documents.
+    leveled = fine.join(per_lang, F.col("lang") == F.col("_l")).withColumn("_k", F.lit(1)).join(whole, F.col("_k") == F.col("_one"))
+
+    def limit(sketch: str):
+        low, high = F.kll_sketch_get_quantile_double(sketch, F.lit(0.25)), F.kll_sketch_get_quantile_double(sketch, F.lit(0.75))
+        return high + fence * (high - low)
+
+    top = limit("whole")
+    middle = F.when(F.kll_sketch_get_n_double("middle") >= least, F.least(limit("middle"), top)).otherwise(top)
+    return leveled.select("lang", "source", F.when(F.kll_sketch_get_n_double("own") >= least, F.least(limit("own"), middle)).otherwise(middle).alias("threshold"))
+
+
+def with_thresholds(shares: DataFrame, fence: float = 1.5, least: int = 100) -> DataFrame:
     """The shares with the threshold of their language and source."""
-    limits = adaptive_thresholds(shares, spread).select(F.col("lang").alias("l"), F.col("source").alias("s"), "threshold")
-    return shares.join(limits, (F.col("lang") == F.col("l")) & F.col("source").eqNullSafe(F.col("s"))).drop("l", "s")
+    limits = adaptive_thresholds(shares, fence, least).select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "threshold")
+    return shares.join(limits, (F.col("lang") == F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))).drop("_l", "_s")
 
 
-def repetitive(shares: DataFrame, most: float = 0.4, spread: float = 1.5) -> DataFrame:
-    """Documents above the threshold of their group, and in any case from the share `most` on."""
-    return with_thresholds(shares, spread).where((F.col("repeated") > 0) & (F.col("share") >= F.least(F.lit(most), F.col("threshold"))))
+def repetitive(shares: DataFrame, fence: float = 1.5, least: int = 100) -> DataFrame:
+    """Documents with repeated words whose share lies on or above the threshold of their group."""
+    return with_thresholds(shares, fence, least).where((F.col("repeated") > 0) & (F.col("share") >= F.col("threshold")))

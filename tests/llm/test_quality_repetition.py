@@ -83,3 +83,17 @@ def test_adaptive_filter(spark):
     assert {r["doc_id"] for r in found.collect()} == {"r1", "r2"}
     assert repetition.with_thresholds(shares).count() == 63
     assert repetition.repetitive(repetition.repeated_shares(df.where("false"))).count() == 0
+
+
+def test_thresholds_change_what_is_found(spark):
+    # The English of source a never repeats, b's is a third repetition, c has too few documents for quartiles of its own.
+    rows = [(f"a{i}", "en", "a", 100, 0) for i in range(200)] + [(f"b{i}", "en", "b", 100, 60 if i % 3 == 0 else i % 5) for i in range(150)] + [("c0", "en", "c", 100, 30), ("z0", "fr", None, 0, 0), ("z1", "fr", None, 100, 90)]
+    shares = spark.createDataFrame([(i, g, s, n, k, k / max(1, n)) for i, g, s, n, k in rows], "doc_id string, lang string, source string, words long, repeated long, share double")
+    limits = {(r["lang"], r["source"]): round(r["threshold"], 4) for r in repetition.adaptive_thresholds(shares).collect()}
+    top = limits["en", "c"]
+    assert limits["en", "a"] == 0 and limits["en", "b"] == top == limits["fr", None] and 0 < top < 0.3
+    found = {r["doc_id"] for r in repetition.repetitive(shares).collect()}
+    assert found >= {f"b{i}" for i in range(0, 150, 3)} | {"c0", "z1"} and "z0" not in found and "b1" not in found
+    assert {r["doc_id"] for r in repetition.repetitive(shares, fence=40.0).collect()} == set()
+    renamed = repetition.named_sources(shares, spark.createDataFrame([("a", "x", "c1"), ("b", "x", "c1"), ("b", "x", "c1"), (None, "x", "c2")], "path string, split string, corpus string"))
+    assert renamed.count() == shares.count() and {r["source"] for r in renamed.select("source").distinct().collect()} == {"c1", None}
