@@ -17,6 +17,7 @@ once gives one row; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import functools
+import math
 import re
 
 import numpy as np
@@ -28,8 +29,10 @@ from . import codepoints as cp
 from . import forms, language
 from .common import map_slices, spread
 
-#: Letters of a prompt from which on windows take the automaton's place.
+#: Letters of a prompt up to which its automaton is built; beyond, windows give the same coverage and verdict in less memory.
 LONG = 20_000
+#: Share of a prompt that a single match must have to count as its copy.
+WHOLE = 0.8
 DEFECTS = ("empty", "refusal", "copy", "other_language", "truncated")
 # Special tokens and section marks that are no content.
 NO_CONTENT = re.compile(r"<\|[^|>]{1,40}\|>|</?s>|<(?:pad|eos|bos|unk)>|\[/?INST\]|^\s*#{1,6}\s*(?:response|output|answer|assistant|antwort|réponse|respuesta|ответ)\s*:?\s*$|^\s*(?:response|output|answer|assistant)\s*:\s*$", re.I | re.M)
@@ -54,7 +57,9 @@ ASKS_SHORT = re.compile(r"\b(title|name the|list|headline|caption|titel|nenne|ti
 #: Ends of a Thai text that something must follow: a vowel written before its consonant, or a word that opens a clause.
 _THAI_OPEN = re.compile(r"(?:[เแโใไ]|และ|แต่|เพราะ|ซึ่ง|เพื่อ|ได้แก่|เมื่อ|หาก|ถ้า|จะ|(?<!ก)ว่า|คือ)$")
 #: What turns from a refusal to an answer.
-_ANSWERS = re.compile(r"\b(?:however|instead|that said|nevertheless|here (?:is|are)|but (?:i can(?!['’]t|not|\s+not)|here)|stattdessen|dennoch|jedoch|hier (?:ist|sind)|cependant|toutefois|voici|sin embargo|aquí (?:está|tienes)|однако|но вот|вместо этого)\b|但是|不过|以下是|しかし|ただし|以下は|ولكن|ومع ذلك|लेकिन|हालाँकि|แต่|อย่างไรก็ตาม|```", re.I)
+_ANSWERS = re.compile(r"(?:^|(?<=[.!?]\s))instead\b|\b(?:however|that said|nevertheless|here (?:is|are)|but (?:i can(?!['’]t|not|\s+not)|here)|stattdessen|dennoch|jedoch|hier (?:ist|sind)|cependant|toutefois|voici|sin embargo|aquí (?:está|tienes)|однако|но вот|вместо этого)\b|但是|不过|以下是|しかし|ただし|以下は|ولكن|ومع ذلك|लेकिन|हालाँकि|แต่|อย่างไรก็ตาม|```", re.I)
+# What a polite opening says, by language.
+_COURTEOUS = re.compile(r"\b(?:thank\w*|sorry|apolog\w*|appreciat\w*|understand\w*|regret\w*|unfortunately|question\w*|request\w*|glad|happy|kind|dank\w*|leider|entschuldig\w*|frage\w*|bedau\w*|merci|désolé\w*|malheureusement|demande\w*|gracias|siento|lament\w*|pregunta\w*|petición|спасибо|извин\w*|сожалени\w*|прости\w*|вопрос\w*|просьб\w*)\b|谢|抱歉|遗憾|对不起|请求|问题|ありがとう|申し訳|すみません|残念|ご質問|شكر|عذر|آسف|للأسف|سؤال|धन्यवाद|क्षमा|माफ|खेद|प्रश्न|ขอบคุณ|ขออภัย|เสียใจ|คำถาม", re.I)
 _SENTENCE_END = re.compile(r"[.!?…。！？।؟．]")
 _OPEN, _CLOSE = "([{“«「『《„", ")]}”»」』》"
 _PAIR = {")": "(", "]": "[", "}": "{", "”": "“„", "»": "«", "」": "「", "』": "『", "》": "《", "“": "„"}
@@ -126,24 +131,44 @@ class SuffixAutomaton:
 class _Windows:
     """For prompts whose automaton would be too large: their windows of one length.
 
-    The coverage is the same; the longest match is that of windows in a row, which may come from
-    several places of the prompt.
+    The coverage is the same.  The longest match is exact where it is WHOLE of the prompt or more:
+    such a match holds the prompt's middle part.  Else it is given as 0.
     """
 
     def __init__(self, text: str, width: int):
+        self.text = text
         self.held = {text[i : i + width] for i in range(len(text) - width + 1)}
 
     def covered(self, text: str, least: int) -> tuple[int, int]:
-        total = best = run = covered_to = 0
+        total = covered_to = 0
         for i in range(len(text) - least + 1):
             if text[i : i + least] in self.held:
                 total += i + least - max(i, covered_to)
                 covered_to = i + least
-                run += 1
-                best = max(best, run + least - 1)
-            else:
-                run = 0
-        return total, best
+        return total, self._longest(text)
+
+    def _longest(self, text: str) -> int:
+        own, n = self.text, len(self.text)
+        need = math.ceil(WHOLE * n)
+        a, b = n - need, need  # every match of that length holds own[a:b]
+        best = 0
+        at = text.find(own[a:b])
+        while at >= 0 and best < n:
+            left = _common(min(a, at), lambda k, p=at: own[a - k : a] == text[p - k : p])
+            end = at + b - a
+            right = _common(min(n - b, len(text) - end), lambda k, p=end: own[b : b + k] == text[p : p + k])
+            best = max(best, left + b - a + right)
+            at = text.find(own[a:b], at + 1)
+        return best if best >= need else 0
+
+
+def _common(most: int, same) -> int:
+    """The greatest k up to most for which same(k) holds; same holds for 0 and all below it."""
+    low = 0
+    while low < most:
+        mid = (low + most + 1) // 2
+        low, most = (mid, most) if same(mid) else (low, mid - 1)
+    return low
 
 
 def copied(prompt: str, response: str) -> tuple[float, float]:
@@ -234,12 +259,20 @@ def _asks(pattern: re.Pattern, prompt: str) -> bool:
     return bool(pattern.search(head))
 
 
-def _only_refuses(response: str, refusal) -> bool:
-    """Whether a long response opens by declining, in its own words, and goes on without turning to an answer."""
-    parts = re.split(r"(?<=[.!?।؟])\s+|(?<=[。！？])|\n+", response.strip())
-    for k, part in enumerate(parts[:2]):
+def _refuses(response: str, refusal) -> bool:
+    """Whether the response declines, in its own words, and goes on without turning to an answer.
+
+    It may open with any number of courteous parts (sentences or lines) and one of another kind;
+    how long it or the parts are makes no difference.
+    """
+    parts = [p for p in re.split(r"(?<=[.!?।؟])\s+|(?<=[。！？])|\n+", response.strip()) if p.strip()]
+    other = 0
+    for k, part in enumerate(parts):
         if any(True for _ in refusal.iter(forms.letters([part])[0])):
             return not re.search("[\"“”«»„「『]", part) and not _ANSWERS.search(" ".join(parts[k:]))
+        other += not _COURTEOUS.search(part)
+        if other > 1:
+            break
     return False
 
 
@@ -265,14 +298,13 @@ def batch_defects(prompts: list[str | None], responses: list[str | None]) -> lis
         if not letters:
             out.append("empty")
             continue
-        hit = next((e for e, _ in refusal.iter(letters)), None)
-        if hit is not None and hit < 170 and (len(letters) < 320 or _only_refuses(response, refusal)) and not _asks(ASKS_REFUSAL, prompt):
+        if next(refusal.iter(letters), None) and _refuses(response, refusal) and not _asks(ASKS_REFUSAL, prompt):
             out.append("refusal")
             continue
         if pl[i] and not _asks(ASKS_COPY, prompt):
             share, whole = copied(pl[i], letters)
             extra = len(letters) * (1 - share)
-            if share >= 0.75 and whole >= 0.8 or whole >= 0.9 and extra <= 24:
+            if share >= 0.75 and whole >= WHOLE or whole >= 0.9 and extra <= 24:
                 out.append("copy")
                 continue
         a, b = int(p_lang[i]), int(r_lang[i])

@@ -40,7 +40,10 @@ def test_coverage_is_brute_force(prompt, response, least):
                 covered |= set(range(i, j))
                 best = max(best, j - i)
     assert SuffixAutomaton(prompt).covered(response, least) == (len(covered), best)
-    assert _Windows(prompt, least).covered(response, least)[0] == len(covered)
+    total, longest = _Windows(prompt, least).covered(response, least)
+    assert total == len(covered)
+    exact = max((j - i for i in range(len(response)) for j in range(i + 1, len(response) + 1) if response[i:j] in prompt), default=0)
+    assert longest == (exact if exact >= 0.8 * len(prompt) else 0)
 
 
 def test_stack():
@@ -62,3 +65,18 @@ def test_long_refusals_and_thai_ends():
     prompts = ["Tell a story about a goose and a mill."] * 4 + ["อธิบายเรื่องแมว"] * 4
     responses = [f"{refusal} {why}", f"{refusal} However, here is a story. {story}", f"“{refusal}” said the goose. {story}", story, thai, thai + " และ", thai + "เพราะ", thai + " ซึ่งดีกว่า"]
     assert batch_defects(prompts, responses) == ["refusal", None, None, None, None, "truncated", "truncated", None]
+
+
+def test_refusals_of_any_length_and_place():
+    refusal = "I am sorry, but I cannot help with that request."
+    polite = [f"Thank you for writing to us about your question number {k} of the day." for k in range(10)]
+    answer = "The mill stands by the river. It was built of stone. The goose lives there."
+    responses = [f"{refusal} The matter is one for others. They know the place. They have the keys.", " ".join([*polite, refusal]), f"{answer} {refusal}", f"{refusal} Instead, this is the tale. {answer}", refusal]
+    assert batch_defects(["Tell a story about a goose and a mill."] * 5, responses) == ["refusal", "refusal", None, None, "refusal"]
+
+
+def test_copies_of_long_prompts():
+    words = " ".join(f"goose number {i}" for i in range(3000))
+    prompt = "Describe " + words
+    shuffled = " ".join(f"number {i} goose" for i in reversed(range(3000)))
+    assert batch_defects([prompt] * 3, [prompt.upper() + "!", shuffled + ".", prompt[: len(prompt) * 17 // 20] + "."]) == ["copy", None, "copy"]
