@@ -1,9 +1,12 @@
 """Problem 1: per-document text quality statistics, and how far a document is from running prose.
 
 `statistics` computes the numbers of every document by table lookups over whole Arrow batches.
-`prose_models` estimates, for each language, a robust mean and covariance of the statistics: start
-at the medians and quartile distances, then two concentration steps, each a mean and covariance of
-the documents near the last centre.  Both come from aggregates over all documents; only the sums
+`prose_models` estimates, for each language, a robust mean and covariance of the statistics: two
+concentration steps start at the medians, with wide scales (START), and end at the documents near
+the centre; their means and covariances are the model.  A language's covariance is drawn towards
+the one all languages have around their own means (OWN), as many languages show little junk and
+little variety; RESOLUTION is what their shares can't tell apart.  The cut is
+twice the 99th percentile of the distances of those near documents.  All come from aggregates over all documents; only the sums
 per language, a fixed number of rows, reach the driver.  `outlierness` gives each document its
 squared Mahalanobis distance from its language's prose and each statistic's share of it.
 
@@ -12,8 +15,8 @@ capitals, without punctuation or broken into lines stays near the centre.
 
 Defined results: null and empty texts, and rows without an id, are left out; an id that comes more
 than once counts once; texts without words have share 0 everywhere and symbol share as measured;
-languages with few documents, and texts of no known language, are measured against the language
-with most documents.
+texts of no known language are measured against the language with most documents; where there is
+no text of a known language at all, nothing is farther than the cut.
 """
 
 from __future__ import annotations
@@ -22,19 +25,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import codepoints as cp
 from . import forms, language
-from .common import map_slices, texts_of
+from .common import map_slices, texts_of, written
 from .ledger import fields_of
 
 STATS = ("log_words", "word_length", "symbol_ratio", "line_end_share", "common_share", "digit_share", "item_share", "short_line_share", "field_share", "odd_share")
-# Parameters: standard deviation added to each statistic, that is, how much of it prose tolerates.
-TOLERANCE = {"log_words": 3.0, "word_length": 1.5, "symbol_ratio": 0.04, "line_end_share": 0.6, "common_share": 0.035, "digit_share": 0.12, "item_share": 0.1, "short_line_share": 0.15, "field_share": 0.15, "odd_share": 0.06}
+# Parameters: scale of each statistic in the concentration steps only; wide, so that all of prose is kept.
+START = {"log_words": 3.0, "word_length": 1.5, "symbol_ratio": 0.04, "line_end_share": 0.6, "common_share": 0.035, "digit_share": 0.12, "item_share": 0.1, "short_line_share": 0.15, "field_share": 0.15, "odd_share": 0.06}
 # Parameters: -1 counts only below the centre, +1 only above it.
 ONE_SIDED = {"symbol_ratio": 1, "line_end_share": -1, "common_share": -1, "digit_share": 1, "item_share": 1, "short_line_share": 1, "field_share": 1, "odd_share": 1}
-#: Squared distance from which a document counts as not prose.
-CUT = 22.0
+#: Squared distance below which the concentration steps keep a document.
+NEAR = 20.0
+#: Standard deviation that a share over a few dozen words, and one over the lines of a text, often a single one, can't tell apart.
+RESOLUTION, LINE_RESOLUTION = 0.032, 0.5
+#: Share of a language's own covariance; the rest is that of all languages.
+OWN = 0.25
+#: The cut, as a multiple of a quantile of the distances of prose.
+BEYOND, QUANTILE = 2.0, 0.99
 ENDS = ".!?…。！？।؟。．"
 QUOTES = "\"'“”„‟‘’‚«»‹›「」『』《》〈〉()[]"
 
@@ -269,15 +279,16 @@ def _contributions(batch: pa.RecordBatch, models: Models, inverses: dict[str, np
     return parts
 
 
-def _near(rows: DataFrame, models: Models, default: str, limit: float) -> DataFrame:
-    """The rows whose squared distance is below the limit."""
+def _measured(rows: DataFrame, models: Models, default: str) -> DataFrame:
+    """The rows with their squared distance as _d."""
     inverses = {k: np.linalg.inv(m[1]) for k, m in models.items()}
+    names = rows.columns
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(_contributions(batch, models, inverses, default).sum(1) < limit))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_contributions(batch, models, inverses, default).sum(1))], [*names, "_d"])
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("_d", DoubleType())]))
 
 
 def _moments(rows: DataFrame) -> dict[str, tuple[int, np.ndarray, np.ndarray]]:
@@ -294,33 +305,44 @@ def _moments(rows: DataFrame) -> dict[str, tuple[int, np.ndarray, np.ndarray]]:
 
 
 def _broad(cov: np.ndarray) -> np.ndarray:
-    """The covariance with each statistic's tolerance on its diagonal; correlations are shrunk by half."""
-    diagonal = np.diag(np.diag(cov))
-    return 0.5 * cov + 0.5 * diagonal + np.diag([TOLERANCE[s] ** 2 for s in STATS])
+    """The covariance of a concentration step: the start's scales on its diagonal, correlations shrunk by half."""
+    return 0.5 * cov + 0.5 * np.diag(np.diag(cov)) + np.diag([START[s] ** 2 for s in STATS])
 
 
-def prose_models(stats: DataFrame, steps: int = 2, near: float = 20.0, least: int = 50) -> tuple[Models, str]:
-    """Robust mean and covariance of prose per language, and the language with most documents."""
+def prose_models(stats: DataFrame, steps: int = 2) -> tuple[Models, str, float]:
+    """Robust mean and covariance of prose per language, the language with most documents, and the cut."""
     known = stats.select("lang", *STATS).where(F.col("lang") != "und")
     quartiles = known.groupBy("lang").agg(F.count("*").alias("n"), *[F.percentile_approx(s, [0.25, 0.5, 0.75], 1000).alias(s) for s in STATS]).collect()
-    models = {}
+    models: Models = {}
     for r in quartiles:
         low, mid, high = (np.array([r[s][k] for s in STATS], float) for k in range(3))
         models[r["lang"]] = (mid, _broad(np.diag(((high - low) / 1.349) ** 2)))
     if not models:
-        return {"en": (np.zeros(len(STATS)), _broad(np.zeros((len(STATS), len(STATS)))))}, "en"
-    counts = {r["lang"]: r["n"] for r in quartiles}
-    default = max(counts, key=lambda k: (counts[k], k))
-    models = {k: m for k, m in models.items() if counts[k] >= least or k == default}
-    for _ in range(steps):
-        found = _moments(_near(known, models, default, near))
-        models = {k: (found[k][1], _broad(found[k][2])) if k in found and found[k][0] >= 10 else m for k, m in models.items()}
-    return models, default
+        return {"en": (np.zeros(len(STATS)), np.eye(len(STATS)))}, "en", float("inf")
+    default = max(quartiles, key=lambda r: (r["n"], r["lang"]))["lang"]
+    found: dict[str, tuple[int, np.ndarray, np.ndarray]] = {}
+    for step in range(steps):
+        kept = _measured(known, models, default).where(F.col("_d") < NEAR).drop("_d")
+        if step == steps - 1:
+            kept = written(kept, "prose")
+        found = _moments(kept)
+        models = {k: (found[k][1], _broad(found[k][2])) if k in found else m for k, m in models.items()}
+    if not found:
+        return models, default, float("inf")
+    shared = sum(n * cov for n, _, cov in found.values()) / sum(n for n, _, _ in found.values())
+    fixed = {}
+    for k, (_, mean, cov) in found.items():
+        mixed = OWN * cov + (1 - OWN) * shared
+        least = np.array([LINE_RESOLUTION if x == "line_end_share" else RESOLUTION for x in STATS]) ** 2
+        fixed[k] = (mean, mixed + np.diag(0.1 * np.diag(mixed) + least))
+    default = default if default in fixed else max(found, key=lambda k: (found[k][0], k))
+    edge = _measured(kept, fixed, default).agg(F.percentile_approx("_d", QUANTILE, 10_000)).first()[0]
+    return fixed, default, BEYOND * edge
 
 
 def outlierness(stats: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The statistics with distance (squared) and the contribution of each statistic to it."""
-    models, default = prose_models(stats)
+    """The statistics with distance (squared), the contribution of each statistic to it, and the cut."""
+    models, default, cut = prose_models(stats)
 
     inverses = {k: np.linalg.inv(m[1]) for k, m in models.items()}
 
@@ -333,9 +355,9 @@ def outlierness(stats: DataFrame, id_col: str = "doc_id") -> DataFrame:
     names = [id_col, "lang", *STATS, "distance", *[f"by_{s}" for s in STATS]]
     kind = dict(stats.dtypes)[id_col]
     schema = f"`{id_col}` {kind}, lang string, " + ", ".join(f"{s} float" for s in STATS) + ", distance double, " + ", ".join(f"by_{s} double" for s in STATS)
-    return stats.select(id_col, "lang", *STATS).mapInArrow(run, schema)
+    return stats.select(id_col, "lang", *STATS).mapInArrow(run, schema).withColumn("cut", F.lit(cut))
 
 
-def not_prose(stats: DataFrame, id_col: str = "doc_id", cut: float = CUT) -> DataFrame:
+def not_prose(stats: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents farther from their language's prose than the cut."""
-    return outlierness(stats, id_col).where(F.col("distance") > cut)
+    return outlierness(stats, id_col).where(F.col("distance") > F.col("cut"))
