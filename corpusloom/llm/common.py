@@ -17,22 +17,23 @@ from ..storage import shared_folder, spread, written  # noqa: F401
 SLICE_BYTES = 1 << 20
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about SLICE_BYTES of the text column."""
+def slices(batch: pa.RecordBatch, *texts: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about SLICE_BYTES of the text columns together."""
     if not batch.num_rows:
         return
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    sizes = np.cumsum(sum(pc.fill_null(pc.binary_length(batch.column(t)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for t in texts))
     cuts = np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         yield batch.slice(a, b - a)
 
 
-def map_slices(df: DataFrame, text: str, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """mapInArrow over slices bounded by their text column."""
+def map_slices(df: DataFrame, text: str | tuple[str, ...], make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """mapInArrow over slices bounded by their text column or columns."""
+    texts = (text,) if isinstance(text, str) else text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, *texts):
                 yield make(part)
 
     return df.mapInArrow(run, schema)

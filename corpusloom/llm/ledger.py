@@ -3,8 +3,11 @@
 `canonical_keys` gives each document the 128-bit key of what is left when white space, letter case,
 punctuation and look-alike characters are set aside (forms.py); in texts made of named fields also
 the order of the fields, while each value stays with its name.  `Ledger` keeps one row per key with
-the number of copies and the earliest representative, in buckets of the key.  A new batch is
-aggregated by itself, full-outer-joined with the buckets it touches, and only those are rewritten.
+the number of copies and the earliest representative, in buckets of the key, at a path that outlives
+the run.  A new batch is aggregated by itself, full-outer-joined with the buckets it touches, and
+only those are read and written anew; a manifest names the folder each bucket is in and the batches
+that are in, so that a batch that comes again changes nothing and a write that breaks off leaves the
+ledger as it was.
 
 Defined results: null and empty texts, and rows without a doc_id, are left out; a doc_id that comes
 more than once counts once; texts without any letter or digit have no key; all other columns are
@@ -101,47 +104,92 @@ def canonical_keys(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
 
 class Ledger:
-    """Copies and earliest representative per canonical key, in buckets, at a path all executors share."""
+    """Copies and earliest representative per canonical key, in buckets, at a path all executors share.
 
-    def __init__(self, spark: SparkSession, buckets: int = 8, id_type: str = "string", path: str | None = None):
-        self.spark, self.buckets, self.id_type, self.path = spark, buckets, id_type, path
+    buckets counts for a new ledger only; an existing one keeps its own.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 8, id_type: str = "string"):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.state = self._newest() or {"buckets": buckets, "id_type": id_type, "batches": [], "folders": {}}
+
+    def _files(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _newest(self) -> dict | None:
+        where, fs = self._files(self.path)
+        if not fs.exists(where):
+            return None
+        names = sorted(f.getPath().toString() for f in fs.listStatus(where) if re.fullmatch(r"manifest-\d{8}\.json", f.getPath().getName()))
+        return json.loads(self.spark.read.text(names[-1], wholetext=True).first()[0]) if names else None
+
+    def _commit(self, state: dict) -> None:
+        """The manifest, written beside and renamed: a ledger is as it was or as it is."""
+        name = f"{self.path}/manifest-{len(state['batches']):08d}.json"
+        part, fs = self._files(name + ".part")
+        out = fs.create(part, True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if not fs.rename(part, self._files(name)[0]):
+            raise OSError(f"{name} is there already: another run added a batch")
+        self.state = state
 
     @property
     def schema(self) -> str:
-        return f"key binary, copies bigint, keep_id {self.id_type}, bucket int"
+        return f"key binary, copies bigint, keep_id {self.state['id_type']}, bucket int"
 
-    def read(self) -> DataFrame:
-        if self.path is None:
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """The ledger's rows, of some buckets only where given."""
+        held = {b: f for b, f in self.state["folders"].items() if buckets is None or int(b) in buckets}
+        if not held:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        columns = self.schema.rsplit(",", 1)[0]
+        rows = self.spark.read.schema(columns).parquet(*[f"{self.path}/{f}/bucket={b}" for b, f in held.items()])
+        return rows.withColumn("bucket", self._bucket("key"))
+
+    def _bucket(self, key: str):
+        return F.pmod(F.xxhash64(key), F.lit(self.state["buckets"])).cast("int")
 
     def batch(self, keys: DataFrame, id_col: str) -> DataFrame:
         """One row per key of the batch.  Spread over (key, id) first, so no hot key meets one task."""
         once = keys.select("key", F.col(id_col).alias("id")).distinct()
         counts = once.groupBy("key").agg(F.count("id").alias("copies"), F.min("id").alias("keep_id"))
-        return counts.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int"))
-
-    def add(self, keys: DataFrame, id_col: str = "doc_id") -> Ledger:
-        """The ledger after one more batch, at a new path.  No id may come in two batches."""
-        new = self.batch(keys, id_col)
-        if self.path is not None:
-            old, new = self.read().alias("o"), new.alias("n")
-            new = old.join(new, ["bucket", "key"], "full_outer").select(
-                "key",
-                (F.coalesce("o.copies", F.lit(0)) + F.coalesce("n.copies", F.lit(0))).alias("copies"),
-                F.least("o.keep_id", "n.keep_id").alias("keep_id"),  # least() skips nulls
-                "bucket",
-            )
-        path = shared_folder(self.spark, "ledger")
-        new.select("key", "copies", "keep_id", "bucket").repartition(self.buckets, "bucket").write.partitionBy("bucket").parquet(path)
-        return Ledger(self.spark, self.buckets, self.id_type, path)
-
-
-def copy_ledger(keys: DataFrame, id_col: str = "doc_id", batches: int = 2, buckets: int = 8) -> Ledger:
-    """A ledger over all keys, brought in as batches; a doc_id's rows always share a batch."""
-    ledger = Ledger(keys.sparkSession, buckets, dict(keys.dtypes)[id_col])
+        return counts.withColumn("bucket", self._bucket("key"))
+
+    def add(self, keys: DataFrame, name: str, id_col: str = "doc_id") -> Ledger:
+        """Brings in the batch of that name; one that is in already changes nothing.  No id may come in two batches."""
+        if name in self.state["batches"]:
+            return self
+        new = written(self.batch(keys, id_col), "ledger-batch")
+        touched = sorted(r["bucket"] for r in new.select("bucket").distinct().collect())  # at most the number of buckets
+        old, n = self.read(touched).alias("o"), new.alias("n")
+        both = old.join(n, ["bucket", "key"], "full_outer").select(
+            "key",
+            (F.coalesce("o.copies", F.lit(0)) + F.coalesce("n.copies", F.lit(0))).alias("copies"),
+            F.least("o.keep_id", "n.keep_id").alias("keep_id"),  # least() skips nulls
+            "bucket",
+        )
+        folder = f"batch-{len(self.state['batches']):08d}"
+        if touched:
+            both.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        self._commit(self.state | {"batches": [*self.state["batches"], name], "folders": self.state["folders"] | {str(b): folder for b in touched}})
+        return self
+
+
+#: Keys of one bucket of a new ledger.
+BUCKET_KEYS = 500_000
+#: Keys that hold this part of all rows are joined without a shuffle; there are no more of them than its inverse.
+HOT = 1000
+
+
+def copy_ledger(keys: DataFrame, id_col: str = "doc_id", batches: int = 2, buckets: int | None = None, path: str | None = None) -> Ledger:
+    """A ledger over all keys, brought in as batches; a doc_id's rows always share a batch.  keys is a written table."""
+    spark = keys.sparkSession
+    buckets = buckets or max(8, -(-keys.count() // BUCKET_KEYS))
+    ledger = Ledger(spark, path or shared_folder(spark, "ledger"), buckets, dict(keys.dtypes)[id_col])
     for b in range(batches):
-        ledger = ledger.add(keys.where(F.pmod(F.xxhash64(id_col), F.lit(batches)) == b), id_col)
+        ledger.add(keys.where(F.pmod(F.xxhash64(id_col), F.lit(batches)) == b), f"{b} of {batches}", id_col)
     return ledger
 
 
@@ -154,6 +202,12 @@ def copy_counts(df: DataFrame, id_col: str = "doc_id", text: str = "text", batch
 def hidden_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", batches: int = 2) -> DataFrame:
     """keep_doc_id, copy_doc_id: every further document of each group of equal documents."""
     keys = written(canonical_keys(df, id_col, text), "keys")
-    groups = copy_ledger(keys, id_col, batches).read().where("copies > 1").select("key", "keep_id")
-    # A hot key's members are many rows of one side against one row: AQE splits that partition.
-    return keys.join(groups, "key").where(F.col(id_col) != F.col("keep_id")).select(F.col("keep_id").alias("keep_doc_id"), F.col(id_col).alias("copy_doc_id")).distinct()
+    groups = copy_ledger(keys, id_col, batches).read().where("copies > 1")
+    # The hot keys, at most HOT of them, are broadcast; of the others none holds more rows than one part in HOT.
+    share = keys.count() / HOT
+    hot = groups.where(F.col("copies") > share).select(F.col("key").alias("hot_key"), F.col("keep_id").alias("hot_keep"))
+    marked = keys.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left")
+    found = marked.where("hot_key is not null").select(F.col("hot_keep").alias("keep_doc_id"), F.col(id_col).alias("copy_doc_id"))
+    rest = marked.where("hot_key is null").select("key", id_col).join(groups.where(F.col("copies") <= share).select("key", "keep_id"), "key")
+    found = found.unionByName(rest.select(F.col("keep_id").alias("keep_doc_id"), F.col(id_col).alias("copy_doc_id")))
+    return found.where("copy_doc_id <> keep_doc_id").distinct()

@@ -328,4 +328,4 @@ def pair_defects(df: DataFrame, id_col: str = "example_id", prompt: str = "instr
         return pa.RecordBatch.from_arrays([part.column(0).filter(keep), found.filter(keep)], ["id", "defect"])
 
     picked = df.select(F.col(id_col).alias("id"), F.col(prompt).alias("prompt"), F.col(response).alias("response")).where(F.col("id").isNotNull())
-    return map_slices(spread(picked), "response", make, f"id {kind}, defect string").groupBy("id").agg(F.min("defect").alias("defect")).withColumnRenamed("id", id_col)
+    return map_slices(spread(picked), ("prompt", "response"), make, f"id {kind}, defect string").groupBy("id").agg(F.min("defect").alias("defect")).withColumnRenamed("id", id_col)

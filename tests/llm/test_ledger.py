@@ -32,7 +32,26 @@ def test_batches_add_up(spark):
         book = ledger.copy_ledger(keys, batches=batches, buckets=3)
         got = sorted((r["keep_id"], r["copies"]) for r in book.read().collect())
         assert got == sorted((min(v), len(v)) for v in expect.values())
-    assert ledger.Ledger(spark).read().count() == 0
+
+
+def test_a_ledger_outlives_runs(spark, tmp_path):
+    path = str(tmp_path / "book")
+    assert ledger.Ledger(spark, path).read().count() == 0
+
+    def keys(*rows):
+        return spark.createDataFrame([(bytearray(k.encode()), i) for k, i in rows], "key binary, doc_id string")
+
+    ledger.Ledger(spark, path, buckets=16).add(keys(("k1", "b"), ("k1", "c"), ("k2", "d"), ("k1", "b")), "monday")
+    before = dict(ledger.Ledger(spark, path).state["folders"])
+    book = ledger.Ledger(spark, path).add(keys(("k1", "a"), ("k3", "e")), "tuesday").add(keys(("k1", "b"), ("k1", "c")), "monday")
+    assert {bytes(r["key"]).decode(): (r["copies"], r["keep_id"]) for r in ledger.Ledger(spark, path).read().collect()} == {"k1": (3, "a"), "k2": (1, "d"), "k3": (1, "e")}
+    # Buckets that the second batch doesn't touch stay where they were.
+    after = ledger.Ledger(spark, path).state
+    assert after["batches"] == ["monday", "tuesday"] and after["buckets"] == 16 and book.state == after
+    assert any(after["folders"][b] == f for b, f in before.items())
+    # A write that broke off before its manifest leaves no trace.
+    (tmp_path / "book" / "batch-00000002").mkdir()
+    assert ledger.Ledger(spark, path).read().count() == 3
 
 
 def test_fields():
