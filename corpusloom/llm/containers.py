@@ -140,8 +140,9 @@ def pack(lengths: np.ndarray, capacity: int, groups: int = GROUPS, large: float
     out = np.full(n, -1, np.int64)
     bins = _Bins(capacity)
     big = int(np.searchsorted(-lengths, -max(1, int(large * capacity)), "left"))
-    if big >= 2 * groups:
-        cuts = np.linspace(0, big, groups + 1).astype(int)
+    if big:
+        # Two items a group at least: few large items make fewer groups.
+        cuts = np.linspace(0, big, max(1, min(groups, big // 2)) + 1).astype(int)
         rounded = lengths[cuts[:-1]]
         # Groups with the same rounded length are one.
         first = np.flatnonzero(np.concatenate([[True], rounded[1:] != rounded[:-1]]))

@@ -9,8 +9,9 @@ Budgets: with no total given, the largest total at which every source that has d
 its share (weights scaled to the sources that have some).  With a total, each source gets its share
 of it, at most max_epochs times its tokens; what one lacks goes to the others by weight.
 
-Running sums are two-level: keys are cut into ranges, as many as the data needs, sums per range are
-accumulated first, then within each range; no source, however large, meets in one task.
+Running sums are two-level (operators/prefix.py): documents are cut into ranges of the keys at sampled
+quantiles, as many as the data needs, sums per range are accumulated first, then within each range;
+no source, however large, and no crowd of like weights meets in one task.
 
 Defined results: null and empty texts, null ids and sources that are null or not listed are left
 out; a source listed without documents, a null or non-positive weight, and max_epochs below 1 give
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.prefix import running_sum
 from . import codepoints as cp
 from . import quality
 from .common import map_slices, texts_of, written
@@ -100,15 +102,10 @@ def mix(df: DataFrame, mixture: DataFrame, id_col: str = "doc_id", text: str = "
     budget = budgets({s: t for s, (t, _) in sums.items()}, targets, total)
     plan = spark.createDataFrame([(s, float(b), int(b // sums[s][0]), float(b - b // sums[s][0] * sums[s][0])) for s, b in budget.items()], "source string, budget double, epochs bigint, part double")
     ranges = max(1, -(-sum(n for _, n in sums.values()) // range_items))
-    # Rises with the key; the halved exponent spreads keys of low weights over the ranges, too.
-    ranged = docs.withColumn("range", F.floor((1 - F.exp(-F.col("key") / 2)) * ranges))
-    before = ranged.groupBy("source", "range").agg(F.sum("tokens").alias("sum"))
-    before = before.select("source", "range", (F.sum("sum").over(Window.partitionBy("source").orderBy("range")) - F.col("sum")).alias("before"))
-    within = Window.partitionBy("source", "range").orderBy("key", id_col)
-    run = ranged.withColumn("to", F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    placed = run.join(before, ["source", "range"]).join(F.broadcast(plan), "source")  # one row a listed source
+    run = running_sum(docs, F.col("tokens"), ["key", id_col], ["source"], name="before", ranges=ranges)
+    placed = run.join(F.broadcast(plan), "source")  # one row a listed source, at most 10000
     # The document on the edge is taken if that leaves the sum nearer to the budget.
-    more = (F.col("before") + F.col("to") - F.col("tokens") / 2) <= F.col("part")
+    more = (F.col("before") + F.col("tokens") / 2) <= F.col("part")
     chosen = placed.select("source", id_col, "tokens", (F.col("epochs") + more.cast("bigint")).alias("repeats")).where("repeats > 0")
     used = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("used"), F.max("repeats").alias("most_repeats"), F.count("*").alias("documents"))
     goal = spark.createDataFrame([(s, float(w), int(e)) for s, (w, e) in targets.items()], "source string, target double, max_epochs bigint")

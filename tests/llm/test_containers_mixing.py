@@ -25,6 +25,13 @@ def test_pack(capacity, kind):
     assert len(load) <= bound * 1.06 + 2
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 9, 40])
+def test_few_items_are_packed_the_same_way(n):
+    lengths = np.sort(np.random.default_rng(n).integers(20, 101, n))[::-1].astype(np.int64)
+    box = containers.pack(lengths, 100)
+    assert (box >= 0).all() and np.bincount(box, weights=lengths).max() <= 100
+
+
 def test_contain(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice([0, 1, 5, 60, 100, 129, 1000])) for i in range(400)] + [(None, 3)]
