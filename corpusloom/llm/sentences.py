@@ -1,7 +1,8 @@
 """Problem 9: sentence boundaries across languages and scripts.
 
 A pushdown automaton reads each block of text (blocks end at blank lines): its stack holds the open
-quotations and brackets, its list level tells entries from running text.  A terminator inside an
+quotations and brackets, and a second one the indentations of the open list levels, which tell the
+lines of an entry from running text behind the list.  A terminator inside an
 open pair ends nothing unless the pair closes right behind it; behind the closing signs, the next
 character, and in scripts without letter case the words of attribution, decide.  Full stops are
 checked backwards in a trie of abbreviations.
@@ -179,8 +180,8 @@ def _ends(text: str, begin: int, a: int, b: int, close: int, end: int) -> bool:
 
 @functools.cache
 def _openers() -> frozenset[str]:
-    """English words that open a sentence and don't follow an article or pronoun with a capital."""
-    return frozenset(COMMON["en"].split()) | {"choose", "suppose", "stop", "load", "version", "however", "dr", "mr", "mrs"}
+    """Common English words, which don't follow an article or pronoun with a capital but open a sentence."""
+    return frozenset(COMMON["en"].split())
 
 
 def _lone(text: str, begin: int, end: int) -> int:
@@ -274,22 +275,30 @@ def _block(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
     """A block without blank lines: running text and list entries."""
     entry = prose = None  # start of the open list entry or of the open running text
     last = start
-    level = 0
+    levels: list[int] = []  # stack of the list levels: indentations of their marks
     for m in _LINE.finditer(text, start, end):
         a, b = m.span()
         if not text[a:b].strip():
             continue
+        indent = _SPACE.match(text, a).end() - a
         over = last == start or entry is not None or bool(_OVER.search(text, max(start, last - 12), last))
         if over and _MARK.match(text, a, b):
             if entry is not None:
                 _entry(text, entry, last, out)
             elif prose is not None:
                 _prose(text, prose, last, out)
-            entry, prose, level = a, None, 1
-        elif entry is not None and _OVER.search(text, max(start, last - 12), last):
-            _entry(text, entry, last, out)
-            entry, prose, level = None, a, 0
-        elif entry is None and prose is None:
+            while levels and levels[-1] >= indent:
+                levels.pop()
+            levels.append(indent)
+            entry, prose = a, None
+        elif entry is not None:
+            # A line set deeper than a mark goes on with its entry; one that isn't leaves its level, and the list once the entry is over.
+            while levels and levels[-1] >= indent:
+                levels.pop()
+            if not levels and _OVER.search(text, max(start, last - 12), last):
+                _entry(text, entry, last, out)
+                entry, prose = None, a
+        elif prose is None:
             prose = a
         last = b
     if entry is not None:
