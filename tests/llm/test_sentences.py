@@ -14,7 +14,7 @@ CASES = [
     ["It stood outside the town hall.", "", "Some baskets are local.", "", "\"The gate found it!\" cried Ann."],
     ["Silver season", "\n\n", "(The turnip was in the room.)", " ", "Load merges.v6.txt before\nstep 17.8.18 of the filter."],
     ["* reason at the night market", "\n", "* battery", "\n", "* In the back room, it closed. And it slept."],
-    ["* The goose came.\n  It slept by the mill.", "\n", "  - Nested entry one.", "\n", "  - Nested entry two.\n    It goes on here.", "\n", "* Last entry.", "\n", "Text behind the list.", " ", "It ends."],
+    ["* The goose came.\n  It slept by the mill.", "\n  ", "- Nested entry one.", "\n  ", "- Nested entry two.\n    It goes on here.", "\n", "* Last entry.", "\n", "Text behind the list.", " ", "It ends."],
     ["1. green tunnel", "\n", "2. Every cable needs a pond.", "\n", "10) old map"],
     ["It went to step\n893 of the map.", " ", "Let $B$ be a ring with $", " ", "The river slept.", " ", "Y", " ", "The tree is prime.", " ", "= 851$.", " ", "It slept."],
     ["A German ship sank.", " ", "I Claudius saw it.", " ", "A", " ", "The tree is prime."],
