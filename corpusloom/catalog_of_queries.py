@@ -389,7 +389,7 @@ def registry_resolve(spark: SparkSession, folder: str) -> DataFrame:
 EDGES = "e AS (SELECT DISTINCT artifact_id, i.artifact_id AS up FROM (SELECT artifact_id, unnest(inputs) AS i FROM registry) WHERE i.artifact_id IS NOT NULL)"
 
 
-@query(f"WITH RECURSIVE {EDGES}, c AS (SELECT artifact_id, up, 1 AS steps FROM e UNION ALL SELECT c.artifact_id, e.up, c.steps + 1 FROM c JOIN e ON c.up = e.artifact_id WHERE c.steps < 32) SELECT artifact_id, up AS ancestor, CAST(min(steps) AS INT) AS steps FROM c GROUP BY ALL")
+@query(f"WITH RECURSIVE {EDGES}, c AS (SELECT artifact_id, up, 1 AS steps FROM e UNION ALL SELECT c.artifact_id, e.up, c.steps + 1 FROM c JOIN e ON c.up = e.artifact_id) SELECT artifact_id, up AS ancestor, CAST(min(steps) AS INT) AS steps FROM c GROUP BY ALL")
 def lineage_closure(spark: SparkSession, folder: str) -> DataFrame:
     return lineage.closure(_table(spark, folder, "registry"))
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.bpe import Codec, token_bytes
+from ..operators.bpe import Codec, codec_of, token_bytes
 
 
 def register(spark: SparkSession, merges: list[tuple[int, int]], pattern: str, ids: list[int] | None = None, unk: int | None = None) -> None:
     """Registers the functions for one tokenizer.  pattern: a regular expression of the `regex` package."""
     shared = spark.sparkContext.broadcast((list(merges), ids, unk, pattern))
+    key = hashlib.sha256(repr((list(merges), ids, unk)).encode()).hexdigest()
 
     def tokens_of(codec: Codec, expression, text: str) -> list[int]:
         return [t for p in expression.findall(text) for t in codec.piece(p.encode())]
@@ -32,8 +34,7 @@ def register(spark: SparkSession, merges: list[tuple[int, int]], pattern: str, i
     def bpe_encode(text: pd.Series) -> pd.Series:
         import regex
 
-        pairs, table, missing, expression = shared.value
-        codec, compiled = Codec(pairs, table, missing), regex.compile(expression)
+        codec, compiled = codec_of(key, lambda: shared.value[:3]), regex.compile(shared.value[3])
         return text.map(lambda t: None if t is None else tokens_of(codec, compiled, t))
 
     @F.pandas_udf("string")
@@ -48,8 +49,7 @@ def register(spark: SparkSession, merges: list[tuple[int, int]], pattern: str, i
         def __init__(self):
             import regex
 
-            pairs, table, missing, expression = shared.value
-            self.codec, self.expression = Codec(pairs, table, missing), regex.compile(expression)
+            self.codec, self.expression = codec_of(key, lambda: shared.value[:3]), regex.compile(shared.value[3])
 
         def eval(self, text: str):
             if text is not None:

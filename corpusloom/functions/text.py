@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,9 +116,18 @@ def plain_segments(c: Column, specials: list[str]) -> Column:
 
 
 def text_bytes(c: Column) -> Column:
-    """UTF-8 bytes as an array of ints."""
-    h = F.hex(F.encode(c, "UTF-8"))
-    return F.transform(F.regexp_extract_all(h, F.lit(".."), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("int"))
+    """UTF-8 bytes as an array of ints: the batch's buffer, widened."""
+
+    @F.arrow_udf("array<int>")
+    def run(batch: pa.Array) -> pa.Array:
+        batch = pa.concat_arrays([batch.cast(pa.binary())])  # offsets from 0
+        offsets = np.frombuffer(batch.buffers()[1], np.int32, len(batch) + 1) if len(batch) else np.zeros(1, np.int32)
+        data = batch.buffers()[2]
+        raw = np.frombuffer(data, np.uint8, int(offsets[-1])) if data and offsets[-1] else np.zeros(0, np.uint8)
+        mask = batch.is_null() if batch.null_count else None
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(raw.astype(np.int32)), mask=mask)
+
+    return run(c)
 
 
 def bytes_text(c: Column) -> Column:

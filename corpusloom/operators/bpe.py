@@ -8,12 +8,12 @@ thousands of dependent steps would otherwise be as many jobs.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -265,6 +265,17 @@ def encode_lists(batch: pa.Array, codec: Codec) -> pa.Array:
     return out if batch.null_count == 0 else pc.if_else(batch.is_valid(), out, pa.nulls(len(out), out.type))
 
 
+_codecs: dict[str, Codec] = {}
+
+
+def codec_of(key: str, make) -> Codec:
+    """The codec of a vocabulary, made once in each worker and kept with the pieces it has met."""
+    if key not in _codecs:
+        _codecs.clear()  # one vocabulary at a time
+        _codecs[key] = Codec(*make())
+    return _codecs[key]
+
+
 def encode(df: DataFrame, merges: list[tuple[int, int]], pattern: str, text: str = "text", into: str = "tokens", ids: list[int] | None = None, unk: int | None = None) -> DataFrame:
     """Token ids of every text: pieces on the JVM, merges per distinct piece in an Arrow batch function.
 
@@ -272,30 +283,47 @@ def encode(df: DataFrame, merges: list[tuple[int, int]], pattern: str, text: str
     vocabulary is bounded by its configured size.
     """
     shared = df.sparkSession.sparkContext.broadcast((list(merges), ids, unk))
+    key = hashlib.sha256(repr((list(merges), ids, unk)).encode()).hexdigest()
 
     @F.arrow_udf("array<int>")
     def run(batch: pa.Array) -> pa.Array:
-        return encode_lists(batch, Codec(*shared.value))
+        return encode_lists(batch, codec_of(key, lambda: shared.value))
 
     return df.withColumn(into, run(T.pieces(F.col(text), pattern)))
 
 
+def joined_bytes(lists: pa.Array, starts: np.ndarray, data: np.ndarray) -> list[bytes | None]:
+    """For each list of token ids the bytes of its tokens, one after another; token t is data[starts[t]:starts[t + 1]].
+
+    A whole batch is gathered at once; an id the table doesn't have is an error.
+    """
+    ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(starts) - 1):
+        raise KeyError(f"no token {int(ids.min() if ids.min() < 0 else ids.max())} in the vocabulary")
+    size = starts[ids + 1] - starts[ids]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    flat = data[np.arange(ends[-1]) - np.repeat(ends[:-1] - starts[ids], size)].tobytes()
+    at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
+    cut = ends[at].tolist()
+    known = lists.is_valid().to_pylist()
+    return [flat[a:b] if ok else None for ok, a, b in zip(known, cut[:-1], cut[1:])]
+
+
 def decode(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", into: str = "text", skip_special: bool = False) -> DataFrame:
     """Text of token ids: the bytes of the tokens joined, bad UTF-8 replaced.
 
-    The vocabulary (bounded by its configured size) becomes a broadcast array of hex strings.
+    The vocabulary, bounded by its configured size, is broadcast as one array of bytes with offsets.
     """
-    rows = vocab.select("token_id", F.hex("token_bytes").alias("h"), "is_special").orderBy("token_id").collect()
-    table = F.array(*[F.lit("" if skip_special and r["is_special"] else r["h"]) for r in rows]) if len(rows) <= 512 else None
-    if table is not None:
-        joined = F.array_join(F.transform(F.col(tokens), lambda x: F.element_at(table, x + 1)), "")
-        return df.withColumn(into, F.make_valid_utf8(F.unhex(joined).cast("string")))
-    shared = df.sparkSession.sparkContext.broadcast([b"" if skip_special and r["is_special"] else bytes.fromhex(r["h"]) for r in rows])
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        known = shared.value
-        return s.map(lambda ts: None if ts is None else b"".join(known[t] for t in ts).decode("utf-8", "replace"))
+    rows = vocab.select("token_id", "token_bytes", "is_special").orderBy("token_id").collect()
+    known = [b""] * (rows[-1]["token_id"] + 1 if rows else 0)
+    for r in rows:
+        known[r["token_id"]] = b"" if skip_special and r["is_special"] else bytes(r["token_bytes"])
+    starts = np.concatenate([[0], np.cumsum([len(k) for k in known])]).astype(np.int64)
+    shared = df.sparkSession.sparkContext.broadcast((starts, np.frombuffer(b"".join(known), np.uint8)))
+
+    @F.arrow_udf("string")
+    def run(batch: pa.Array) -> pa.Array:
+        return pa.array([None if b is None else b.decode("utf-8", "replace") for b in joined_bytes(batch, *shared.value)], pa.string())
 
     return df.withColumn(into, run(F.col(tokens)))
 

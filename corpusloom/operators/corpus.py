@@ -54,11 +54,14 @@ def stats(df: DataFrame, min_chars: int = 20, text: str = "text", source: str =
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per text: the one with the smallest id, whole, with the number of its copies.
 
-    Equal texts meet by hash after a partial aggregate, so a hot text costs one row per task.
+    Only hashes and ids are aggregated, partially in each task, so a hot text costs one row a task;
+    the kept rows come back by a join on both, which no hot text can skew.  A row that comes more
+    than once with its id is kept once; null ids come after all others, null texts are one text.
     """
-    rest = [c for c in df.columns if c != id_col]
-    picked = df.groupBy(F.sha2(F.col(text), 256).alias("_h")).agg(F.min_by(F.struct(*df.columns), F.col(id_col)).alias("_k"), F.count("*").alias("copies"))
-    return picked.select(F.col(f"_k.{id_col}").alias(id_col), *[F.col(f"_k.{c}").alias(c) for c in rest], "copies")
+    keyed = df.withColumn("_h", F.sha2(F.col(text), 256))
+    picked = keyed.groupBy(F.col("_h").alias("_h2")).agg(F.min(id_col).alias("_id"), F.count("*").alias("copies"))
+    kept = keyed.join(picked, F.col("_h").eqNullSafe(F.col("_h2")) & F.col(id_col).eqNullSafe(F.col("_id")))
+    return kept.dropDuplicates([id_col, "_h"]).select(*df.columns, "copies")
 
 
 def dedup_stats(df: DataFrame, text: str = "text") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import written
+
 
 def latest(registry: DataFrame) -> DataFrame:
     """The last published entry of each type: by sequence, not by time."""
@@ -34,20 +36,22 @@ def edges(registry: DataFrame) -> DataFrame:
     return rows.select("artifact_id", F.col("i.artifact_type").alias("input_type"), F.col("i.artifact_id").alias("input_id")).where("input_id is not null").distinct()
 
 
-def closure(registry: DataFrame, most_steps: int = 32) -> DataFrame:
+def closure(registry: DataFrame) -> DataFrame:
     """artifact_id, ancestor, steps: everything an artifact was made from, directly or not, by the shortest way.
 
-    Recursive SQL; artifact graphs are acyclic, and most_steps bounds a damaged one.
+    Each round joins the pairs found last with the edges and keeps what is new, so the rounds end
+    with the longest of the shortest ways, in a damaged graph with cycles, too.  Lineage is cut by a
+    written table every round.
     """
-    name = "lineage_edges"
-    edges(registry).createOrReplaceTempView(name)
-    return registry.sparkSession.sql(
-        f"""WITH RECURSIVE up(artifact_id, ancestor, steps) AS (
-          SELECT artifact_id, input_id, 1 FROM {name}
-          UNION ALL
-          SELECT up.artifact_id, e.input_id, up.steps + 1 FROM up JOIN {name} e ON up.ancestor = e.artifact_id WHERE up.steps < {int(most_steps)})
-        SELECT artifact_id, ancestor, min(steps) AS steps FROM up GROUP BY artifact_id, ancestor"""
-    )
+    up = written(edges(registry).select(F.col("artifact_id").alias("_from"), F.col("input_id").alias("_to")).distinct(), "edges")
+    known = up.select(F.col("_from").alias("artifact_id"), F.col("_to").alias("ancestor"), F.lit(1).alias("steps"))
+    fresh, steps = known, 1
+    while not fresh.isEmpty():
+        steps += 1
+        further = fresh.join(up, F.col("ancestor") == F.col("_from")).select("artifact_id", F.col("_to").alias("ancestor")).distinct()
+        fresh = written(further.join(known, ["artifact_id", "ancestor"], "left_anti").withColumn("steps", F.lit(steps)), "lineage")
+        known = known.unionByName(fresh)
+    return known
 
 
 def input_of(registry: DataFrame, artifact_id: str, input_type: str) -> DataFrame:

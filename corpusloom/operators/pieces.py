@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..storage import written
 from .prefix import ordinal, running_sum
 
 
@@ -30,21 +31,36 @@ def piece_counts(df: DataFrame, pattern: str, **options) -> DataFrame:
     return piece_rows(df, pattern, **options).groupBy("piece").agg(F.count("*").alias("freq"))
 
 
+def most_frequent(counts: DataFrame, k: int, least: int = 1) -> DataFrame:
+    """The k most frequent pieces, ties by bytes, in no order.
+
+    A table of how many pieces have each frequency gives the frequency at the cap.  Pieces above it stay, those below go; only the ones
+    of just that frequency are ranked, in ranges of their order, so no task meets k rows.
+    """
+    kept = written(counts.where(F.col("freq") >= least), "pieces")
+    per = kept.groupBy("freq").agg(F.count("*").alias("n"))
+    # Different frequencies: at most about the square root of twice the number of all pieces counted.
+    above = ordered_sum(per, F.col("n"))
+    edge = above.where((F.col("before") < k) & (F.col("before") + F.col("n") >= k)).select("freq", "before").collect()  # one row or none
+    if not edge:
+        return kept if k > 0 else kept.limit(0)
+    freq, before = edge[0]["freq"], edge[0]["before"]
+    border = ordinal(kept.where(F.col("freq") == freq), ["piece"], name="_n").where(F.col("_n") < k - before).drop("_n")
+    return kept.where(F.col("freq") > freq).unionByName(border)
+
+
+def ordered_sum(per: DataFrame, value) -> DataFrame:
+    return running_sum(per.withColumn("_neg", -F.col("freq")), value, ["_neg"], name="before").drop("_neg")
+
+
 def top_pieces(counts: DataFrame, k: int | None = None, least: int = 1) -> DataFrame:
     """Most frequent first, ties by bytes."""
-    out = counts.where(F.col("freq") >= least).orderBy(F.desc("freq"), "piece")
-    return out if k is None else out.limit(k)
+    kept = counts.where(F.col("freq") >= least) if k is None else most_frequent(counts, k, least)
+    return kept.orderBy(F.desc("freq"), "piece")
 
 
 def word_inventory(counts: DataFrame, least: int = 1, most_words: int | None = None) -> DataFrame:
-    """word_idx, symbols, freq of the pieces that training works on; word_idx is the rank.
-
-    With a cap the rows are the cap's; without one ranks come from two-level running counts.
-    """
-    kept = counts.where(F.col("freq") >= least).withColumn("_neg", -F.col("freq"))
-    if most_words is not None:
-        top = kept.orderBy("_neg", "piece").limit(most_words)
-        ranked = top.withColumn("word_idx", F.row_number().over(Window.orderBy("_neg", "piece")).cast("bigint") - 1) if most_words <= 1_000_000 else ordinal(top, ["_neg", "piece"], name="word_idx")
-    else:
-        ranked = ordinal(kept, ["_neg", "piece"], name="word_idx")
+    """word_idx, symbols, freq of the pieces that training works on; word_idx is the rank."""
+    kept = counts.where(F.col("freq") >= least) if most_words is None else most_frequent(counts, most_words, least)
+    ranked = ordinal(kept.withColumn("_neg", -F.col("freq")), ["_neg", "piece"], name="word_idx")
     return ranked.select("word_idx", T.text_bytes(F.col("piece")).alias("symbols"), "freq")

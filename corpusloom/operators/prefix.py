@@ -1,28 +1,57 @@
 """Running sums and ordinals over a total order, without one task seeing all rows.
 
-An unpartitioned window collapses to one task.  Here rows are range-partitioned by the order, the
-sums per range (one row per range and group) are accumulated first, and each range adds its own
-running sum.  The ranges are written once, so that lost executors cannot move a border.
+An unpartitioned window collapses to one task.  Here rows are range-partitioned by the order and
+sorted within their range, one streaming pass adds the running sum inside the range, and the result is
+written once, so that lost executors cannot move a border.  The sums per range (one row per range and
+group) are accumulated and added back.  Rows, however wide, are shuffled once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..storage import written
 
 
+def _within(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[pa.RecordBatch]:
+    """Adds _l: the exclusive running sum of _v within this partition and group."""
+    held: dict[tuple, int] = {}
+    for batch in batches:
+        v = batch.column("_v").to_numpy(zero_copy_only=False)
+        out = np.zeros(len(v), np.int64)
+        if group:
+            keys = list(zip(*(batch.column(g).to_pylist() for g in group)))
+            place: dict[tuple, list[int]] = {}
+            for i, k in enumerate(keys):
+                place.setdefault(k, []).append(i)
+            for k, at in place.items():
+                ends = np.cumsum(v[at])
+                out[at] = held.get(k, 0) + ends - v[at]
+                held[k] = held.get(k, 0) + int(ends[-1])
+        elif len(v):
+            ends = np.cumsum(v)
+            out = held.get((), 0) + ends - v
+            held[()] = held.get((), 0) + int(ends[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], [*batch.schema.names, "_l"])
+
+
 def running_sum(df: DataFrame, value: Column, order: list[str], group: list[str] | None = None, name: str = "before", ranges: int | None = None) -> DataFrame:
     """Adds the exclusive running sum of value in the order, within each group.
 
     order must name columns that together are unique within a group; null values count as 0.
     """
     group = group or []
-    spark = df.sparkSession
-    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("_v", F.coalesce(value.cast("bigint"), F.lit(0)))
-    parts = written(keyed.repartitionByRange(n, *order).withColumn("_r", F.spark_partition_id()), "ranges")
+    ranged = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_r", F.spark_partition_id())
+    schema = StructType([*ranged.schema.fields, StructField("_l", LongType())])
+    parts = written(ranged.mapInArrow(lambda batches: _within(batches, group), schema), "ranges")
     sums = parts.groupBy(*group, "_r").agg(F.sum("_v").alias("_s"))
     # One row per range and group: a few thousand, whatever the size of the data, where groups are few.
     over = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_r")
@@ -30,8 +59,7 @@ def running_sum(df: DataFrame, value: Column, order: list[str], group: list[str]
     on = parts["_r"] == base["_r2"]
     for g in group:
         on = on & parts[g].eqNullSafe(base[f"_g_{g}"])
-    within = Window.partitionBy(*group, "_r").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = parts.join(base, on).withColumn(name, F.col("_b") + F.coalesce(F.sum("_v").over(within), F.lit(0)))
+    out = parts.join(base, on).withColumn(name, F.col("_b") + F.col("_l"))
     return out.select(*df.columns, name)
 
 

@@ -33,8 +33,13 @@ def shard_index(index: DataFrame) -> DataFrame:
 
 
 def document_slices(index: DataFrame, shards: DataFrame) -> DataFrame:
-    """Each document's tokens cut out of its shard's token array by start and length."""
-    return index.join(shards, "shard").select("shard", "doc_id", F.expr("slice(tokens, cast(start + 1 as int), length)").alias("tokens"))
+    """Each document's tokens, and where they start, cut out of its shard's token array.
+
+    The documents of a shard, a fixed number, are gathered to one row first, so a shard's array is met once.
+    """
+    docs = index.groupBy(F.col("shard").alias("_shard")).agg(F.collect_list(F.struct("doc_id", "start", "length")).alias("_docs"))
+    cut = F.expr("transform(_docs, d -> struct(d.doc_id as doc_id, d.start as start, slice(tokens, cast(d.start + 1 as int), d.length) as tokens))")
+    return shards.join(docs, F.col("shard") == F.col("_shard")).select("shard", F.explode(cut).alias("d")).select("shard", "d.*")
 
 
 def split_name(doc_id, mod: int = 1000, val_remainder: int = 0):

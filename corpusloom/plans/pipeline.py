@@ -197,7 +197,7 @@ def pack(spark: SparkSession, cfg: dict, run_id: str | None = None, resume: bool
         return name
     where = str(A.artifact_folder(root, "tokens", source["artifact_id"]))
     index, binary = interchange.read_token_index(spark, where), interchange.read_token_shards(spark, where, source["token_dtype"])
-    docs = shards.document_slices(index, binary).join(index.select("shard", "doc_id", "start"), ["shard", "doc_id"])
+    docs = shards.document_slices(index, binary)
     split = docs.withColumn("split", shards.split_name(F.col("doc_id"), int(out["split_mod"]), int(out["val_remainder"])))
     blocks = written(shards.packed_blocks(split, int(out["seq_len"]), ["shard", "start"]), "packed")
     counts = {r["split"]: r.asDict() for r in shards.packed_counts(split.withColumn("length", F.size("tokens")), int(out["seq_len"])).collect()}  # two rows
