@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import sha256
 from ..storage import written
 
 
@@ -62,10 +66,34 @@ def input_of(registry: DataFrame, artifact_id: str, input_type: str) -> DataFram
 
 
 def file_checksums(spark, folder: str, leave_out: tuple[str, ...] = ("artifact_manifest.json",)) -> DataFrame:
-    """path, sha256 of each file below a folder."""
+    """path, sha256 of each file below a folder, hashed by the executors; path is as a user writes it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     named = files.withColumn("name", F.element_at(F.split("path", "/"), -1))
-    return named.where(~F.col("name").isin(*leave_out)).select("path", F.sha2("content", 256).alias("sha256"))
+    return named.where(~F.col("name").isin(*leave_out)).select(_named(F.col("_metadata.file_path")).alias("path"), F.sha2("content", 256).alias("sha256"))
+
+
+def _named(uri):
+    return F.url_decode(F.replace(F.regexp_replace(uri, "^file:/+", "/"), F.lit("+"), F.lit("%2B")))
+
+
+def digests_of(spark, paths: list[str]) -> DataFrame:
+    """path, sha256 of the named files, read in parts by the executors, so files of any size will do.
+
+    Local paths must be on storage that all executors share; others are read by Spark, whole.
+    """
+    local = [str(p) for p in paths if "://" not in str(p)]
+    remote = [str(p) for p in paths if "://" in str(p)]
+
+    def run(batches):
+        for batch in batches:
+            names = batch.column("path").to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([sha256(Path(p)) for p in names], pa.string())], ["path", "sha256"])
+
+    listed = spark.createDataFrame([(p,) for p in local], "path string")
+    out = listed.repartition(max(1, min(len(local), spark.sparkContext.defaultParallelism * 4)), "path").mapInArrow(run, "path string, sha256 string")
+    if remote:
+        out = out.unionByName(spark.read.format("binaryFile").load(remote).select("path", F.sha2("content", 256).alias("sha256")))
+    return out
 
 
 def missing(expected: DataFrame, actual: DataFrame, key: str = "path") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import text as T
-from ..operators import bpe, corpus, pieces, shards
+from ..operators import bpe, corpus, lineage, pieces, shards
 from ..session import ship
 from ..sources import artifacts as A
 from ..sources import files, interchange, lines
@@ -23,29 +23,45 @@ from . import configs
 
 
 def _begin(spark: SparkSession, stage: str, cfg: dict, run_id: str | None, kind: str, signature: str, own: str | None, resume: bool):
+    """Root, name, folder and run of a stage; no run where its artifact is there already.
+
+    Resuming takes the same inputs and settings: a saved state or an artifact of other ones is an error.
+    """
     ship(spark)
     root = Path(cfg["artifacts_root"]).resolve()
     name = own or A.artifact_id(kind, signature)
     folder = A.artifact_folder(root, kind, name)
+    output = Path(cfg["run"]["output_dir"]).resolve()
     if (folder / A.MANIFEST).exists():
-        if resume:
-            return root, name, folder, None
-        raise FileExistsError(folder)
+        if not resume:
+            raise FileExistsError(folder)
+        if A.read_json(folder / A.MANIFEST).get("signature") != signature:
+            raise ValueError(f"{folder} was made of other inputs or settings")
+        return root, name, folder, None
     if folder.exists() and any(folder.iterdir()) and not resume:
         raise FileExistsError(folder)
-    run = A.Run.start(stage, Path(cfg["run"]["output_dir"]).resolve(), cfg, run_id)
+    if resume and run_id and (output / run_id / "state.json").exists():
+        A.Run(stage, run_id, output / run_id, "").may_resume(signature)
+    run = A.Run.start(stage, output, cfg, run_id)
     run.state({"signature": signature, "artifact_id": name, "status": "running"})
     return root, name, folder, run
 
 
-def _commit(root: Path, name: str, folder: Path, run: A.Run, kind: str, inputs: list[dict], stats: dict, extra: dict | None = None) -> str:
-    record = A.manifest(kind, name, run, inputs, stats, files.checksums(folder), extra)
+def _commit(spark: SparkSession, root: Path, name: str, folder: Path, run: A.Run, kind: str, inputs: list[dict], stats: dict, extra: dict | None = None) -> str:
+    signature = A.read_json(run.folder / "state.json")["signature"]
+    sums = {Path(r["path"]).relative_to(folder).as_posix(): r["sha256"] for r in lineage.file_checksums(spark, str(folder), (A.MANIFEST,)).collect()}  # a row a file
+    record = A.manifest(kind, name, run, inputs, stats, dict(sorted(sums.items())), (extra or {}) | {"signature": signature})
     A.publish(root, folder, record)
-    run.state({"artifact_id": name, "status": "done"})
+    run.state({"signature": signature, "artifact_id": name, "status": "done"})
     run.end("done", stats)
     return name
 
 
+def _inputs(spark: SparkSession, found: list[str]) -> list[dict]:
+    """Path and digest of each input file."""
+    return [r.asDict() for r in lineage.digests_of(spark, found).orderBy("path").collect()]  # a row a file
+
+
 def _manifest(found: dict) -> dict:
     return A.read_json(Path(found["manifest_path"]))
 
@@ -66,18 +82,18 @@ def corpus_frame(spark: SparkSession, paths: list[str], data: dict) -> DataFrame
 def build_corpus(spark: SparkSession, cfg: dict, run_id: str | None = None, resume: bool = False) -> str:
     configs.check_corpus(cfg)
     data = cfg["data"]
-    found = files.find(data["input_paths"])
+    found = files.find(data["input_paths"], spark=spark)
     if not found:
         raise FileNotFoundError("no input files")
-    listed = [{"path": str(p), "sha256": files.sha256(p)} for p in found]
+    listed = _inputs(spark, found)
     signature = A.stable_hash({"config_hash": cfg["meta"]["config_hash"], "input_files": listed})
     root, name, folder, run = _begin(spark, "corpus", cfg, run_id, "corpus", signature, cfg["artifact"]["id"], resume)
     if run is None:
         return name
-    rows = written(corpus_frame(spark, [str(p) for p in found], data), "corpus")
+    rows = written(corpus_frame(spark, found, data), "corpus")
     stats = rows.agg(F.count_if("kept").alias("docs_kept"), F.count_if(~F.col("kept")).alias("dropped_short"), F.coalesce(F.sum(F.when(F.col("kept"), F.octet_length("text"))), F.lit(0)).alias("total_bytes")).first().asDict()
     interchange.write_documents(corpus.records(rows.where("kept")), str(folder / "docs"))
-    return _commit(root, name, folder, run, "corpus", [{"artifact_type": "raw_files", "artifact_id": "raw_files", "files": listed}], stats | {"num_files": len(found)}, {"docs_path": "docs"})
+    return _commit(spark, root, name, folder, run, "corpus", [{"artifact_type": "raw_files", "artifact_id": "raw_files", "files": listed}], stats | {"num_files": len(found)}, {"docs_path": "docs"})
 
 
 def dedup(spark: SparkSession, cfg: dict, run_id: str | None = None, resume: bool = False) -> str:
@@ -91,7 +107,7 @@ def dedup(spark: SparkSession, cfg: dict, run_id: str | None = None, resume: boo
     kept = written(corpus.exact_dedup(docs), "dedup")
     stats = kept.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("total"), F.count("*").alias("kept")).first().asDict()
     interchange.write_documents(kept.drop("copies"), str(folder / "docs"), order=["doc_id"])
-    return _commit(root, name, folder, run, "corpus_dedup", [_as_input(source)], stats | {"dropped": stats["total"] - stats["kept"]}, {"docs_path": "docs"})
+    return _commit(spark, root, name, folder, run, "corpus_dedup", [_as_input(source)], stats | {"dropped": stats["total"] - stats["kept"]}, {"docs_path": "docs"})
 
 
 def count_words(spark: SparkSession, cfg: dict, paths: list[str], pattern: str) -> DataFrame:
@@ -121,14 +137,14 @@ def train_tokenizer(spark: SparkSession, cfg: dict, run_id: str | None = None, r
     pattern = T.resolve_pattern(pre["pattern"], pre["custom_pattern"], tuple(pre["flags"]))
     plain = pre["custom_pattern"] if pre["pattern"] == "custom" else T.PATTERNS[pre["pattern"]]
     pattern_hash = A.stable_hash({"pattern": plain, "flags": sorted(pre["flags"]), "normalize": cfg["data"]["normalize"], "engine": "java.util.regex"})
-    found = files.find(cfg["data"]["input_paths"], cfg["data"]["input_format"], strict=True)
+    found = files.find(cfg["data"]["input_paths"], cfg["data"]["input_format"], strict=True, spark=spark)
     print_of = files.fingerprint(found)
     signature = A.stable_hash({"config_hash": cfg["meta"]["config_hash"], "pattern_hash": pattern_hash, "files": print_of})
     root, name, folder, run = _begin(spark, "tokenizer", cfg, run_id, "tokenizer", signature, cfg["artifact"]["id"], resume)
     if run is None:
         return name
     meta = {"config_hash": run.config_hash, "pattern_hash": pattern_hash}
-    words = counted_words(spark, cfg, run, [str(p) for p in found], pattern, meta | {"files": print_of}, resume)
+    words = counted_words(spark, cfg, run, found, pattern, meta | {"files": print_of}, resume)
     merges = bpe.target_merges(int(cfg["bpe"]["vocab_size"]), len(cfg["special_tokens"]["tokens"]), cfg["bpe"]["max_merges"])
     log_path = run.folder / "merges.wal"
     if log_path.exists() and not resume:
@@ -137,11 +153,14 @@ def train_tokenizer(spark: SparkSession, cfg: dict, run_id: str | None = None, r
     replay = []
     log = A.MergeLog(log_path, run.config_hash, pattern_hash, cfg["checkpointing"]["wal_fsync_every_commits"])
     if resume:
-        done = bpe.committed(A.read_merge_log(spark, str(log_path)))
+        # The newest whole snapshot, and from the log what came after it.
+        snapshot = A.latest_snapshot(run.folder, meta)
+        replay = [(a, b, new_id) for a, b, new_id, _ in snapshot["merges"]] if snapshot else []
+        done = bpe.committed(A.read_merge_log(spark, str(log_path)).where(F.col("merge_idx") >= len(replay)))
         rows = done.orderBy("merge_idx").collect()  # at most the vocabulary's size
-        if [r["merge_idx"] for r in rows] != list(range(len(rows))):
+        if [r["merge_idx"] for r in rows] != list(range(len(replay), len(replay) + len(rows))):
             raise ValueError("the merge log has a gap")
-        replay = [(r["a"], r["b"], r["new_id"]) for r in rows]
+        replay += [(r["a"], r["b"], r["new_id"]) for r in rows]
     out: list[tuple[int, int, int, int]] = []
 
     def keep(rank: int, a: int, b: int, new_id: int, count: int) -> None:
@@ -157,8 +176,8 @@ def train_tokenizer(spark: SparkSession, cfg: dict, run_id: str | None = None, r
         run.end("stopped", {"merges": len(learnt)})
         return None
     interchange.write_tokenizer(folder, [(a, b) for a, b, _, _ in learnt], cfg["special_tokens"]["tokens"], cfg["special_tokens"]["placement"], {"pattern": plain, "pattern_alias": pre["pattern"], "pattern_flags": sorted(pre["flags"]), "training_files_fingerprint": print_of, **meta})
-    inputs = [{"artifact_type": "raw_files", "artifact_id": "raw_files", "files": [{"path": str(p), "sha256": files.sha256(p)} for p in found]}]
-    return _commit(root, name, folder, run, "tokenizer", inputs, {"num_merges": len(learnt)})
+    inputs = [{"artifact_type": "raw_files", "artifact_id": "raw_files", "files": _inputs(spark, found)}]
+    return _commit(spark, root, name, folder, run, "tokenizer", inputs, {"num_merges": len(learnt)})
 
 
 def tokenize(spark: SparkSession, cfg: dict, run_id: str | None = None, resume: bool = False) -> str:
@@ -184,7 +203,7 @@ def tokenize(spark: SparkSession, cfg: dict, run_id: str | None = None, resume:
     listed = sorted([*done.values(), *(r.asDict() for r in index)], key=lambda r: r["shard"])
     stats = {"num_docs": sum(r["num_docs"] for r in listed), "total_tokens": sum(r["num_tokens"] for r in listed), "num_shards": len(listed)}
     A.write_json(folder / "index.json", {"shards": listed, "token_dtype": out["token_dtype"], **stats})
-    return _commit(root, name, folder, run, "tokens", [_as_input(source), _as_input(tokenizer)], stats, {"token_dtype": out["token_dtype"]})
+    return _commit(spark, root, name, folder, run, "tokens", [_as_input(source), _as_input(tokenizer)], stats, {"token_dtype": out["token_dtype"]})
 
 
 def pack(spark: SparkSession, cfg: dict, run_id: str | None = None, resume: bool = False) -> str:
@@ -203,7 +222,7 @@ def pack(spark: SparkSession, cfg: dict, run_id: str | None = None, resume: bool
     counts = {r["split"]: r.asDict() for r in shards.packed_counts(split.withColumn("length", F.size("tokens")), int(out["seq_len"])).collect()}  # two rows
     interchange.write_packed(blocks, str(folder), source["token_dtype"]).collect()  # a row a file
     A.write_json(folder / "index.json", {"seq_len": out["seq_len"], "token_dtype": source["token_dtype"], "splits": counts})
-    return _commit(root, name, folder, run, "packed", [_as_input(source)], {"seq_len": out["seq_len"], **{f"{s}_blocks": c["num_blocks"] for s, c in counts.items()}})
+    return _commit(spark, root, name, folder, run, "packed", [_as_input(source)], {"seq_len": out["seq_len"], **{f"{s}_blocks": c["num_blocks"] for s, c in counts.items()}})
 
 
 STAGES = {"corpus": (configs.CORPUS, build_corpus), "dedup": (configs.DEDUP, dedup), "tokenizer": (configs.TOKENIZER, train_tokenizer), "tokens": (configs.TOKENS, tokenize), "packed": (configs.PACKED, pack)}

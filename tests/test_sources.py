@@ -1,5 +1,6 @@
 import gzip
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ def test_find(tmp_path):
     for name in ("a.txt", "b.TXT.gz", "c.jsonl", "d.bin", "sub/e.jsonl.gz", "sub/f.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_bytes(b"")
-    names = lambda fs: [f.relative_to(tmp_path).as_posix() for f in fs]
+    names = lambda fs: [Path(f).relative_to(tmp_path).as_posix() for f in fs]
     assert names(files.find([str(tmp_path), str(tmp_path / "a.txt")], "text")) == ["a.txt", "b.TXT.gz", "sub/f.txt"]
     assert names(files.find([str(tmp_path)], "jsonl")) == ["c.jsonl", "sub/e.jsonl.gz"]
     assert len(files.find([str(tmp_path), "/no/such"])) == 6
@@ -22,6 +23,24 @@ def test_find(tmp_path):
         files.find([str(tmp_path / "d.bin")], "text", strict=True)
 
 
+def test_find_by_scheme_and_digests(spark, tmp_path):
+    from corpusloom.operators import lineage
+
+    (tmp_path / "in/sub").mkdir(parents=True)
+    (tmp_path / "in/a.txt").write_bytes(b"a" * 3_000_000)
+    (tmp_path / "in/sub/b.txt").write_bytes(b"b")
+    (tmp_path / "in/c.bin").write_bytes(b"c")
+    found = files.find([f"file://{tmp_path}/in"], "text", strict=True, spark=spark)
+    assert [f.rsplit("/", 1)[1] for f in found] == ["a.txt", "b.txt"] and files.find([f"file://{tmp_path}/none"], spark=spark) == []
+    with pytest.raises(FileNotFoundError):
+        files.find([f"file://{tmp_path}/none"], strict=True, spark=spark)
+    paths = [str(tmp_path / "in/a.txt"), str(tmp_path / "in/sub/b.txt")]
+    expect = {p: files.sha256(Path(p)) for p in paths}
+    assert {r["path"]: r["sha256"] for r in lineage.digests_of(spark, paths).collect()} == expect
+    assert {r["path"]: r["sha256"] for r in lineage.file_checksums(spark, str(tmp_path / "in"), ("c.bin",)).collect()} == expect
+    assert lineage.digests_of(spark, []).count() == 0 and lines.read_lines(spark, found).count() == 2
+
+
 def test_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"a\r\nb\rc\nlast\xff")
     with gzip.open(tmp_path / "b.txt.gz", "wb") as f:
@@ -35,6 +54,25 @@ def test_lines(spark, tmp_path):
     assert lines.read_lines(spark, []).count() == 0
 
 
+def test_lines_of_split_files(spark, tmp_path):
+    rows = [f"line {i} é" + "x" * (i % 70) for i in range(4000)]
+    for name, end in (("a {1}+%20.txt", b""), ("b.txt", b"\n")):
+        (tmp_path / name).write_bytes("\n".join(rows).encode() + end)
+    (tmp_path / "empty.txt").write_bytes(b"")
+    (tmp_path / "bom.txt").write_bytes(b"\xef\xbb\xbfone\ntwo\n")
+    paths = [str(tmp_path / n) for n in ("a {1}+%20.txt", "b.txt", "empty.txt", "bom.txt")]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = lines.read_lines(spark, paths, newline="lf")
+        assert found.rdd.getNumPartitions() > 1
+        got = sorted((r["source"], r["line_no"], r["text"]) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    expect = [(paths[0], i + 1, t + ("\n" if i < 3999 else "")) for i, t in enumerate(rows)] + [(paths[1], i + 1, t + "\n") for i, t in enumerate(rows)] + [(paths[3], 1, "one\n"), (paths[3], 2, "two\n")]
+    assert got == sorted(expect)
+
+
 def test_json_lines(spark, tmp_path):
     body = ['{"text":"hello"}', '{"text":123}', "not-json", "", '["text"]', '{"other":"x"}', '{"text":null}', '{"text":""}']
     (tmp_path / "a.jsonl").write_text("\n".join(body))

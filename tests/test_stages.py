@@ -63,6 +63,24 @@ def test_resumed_training_is_whole_training(spark, raw, tmp_path):
     assert (folder / "merges.txt").read_text() == merges and len(merges.splitlines()) == 5
 
 
+def test_resuming_takes_the_same_inputs_and_reads_snapshots(spark, raw):
+    (raw / "raw/train.txt").write_text("banana bandana banana\nbanana banana bandana\ncabana banana\nbanana!\n")
+    assert pipeline.train_tokenizer(spark, tokenizer(raw), "part", stop_after=3) is None
+    log = raw / "runs/tokenizer/part/merges.wal"
+    # The log's first lines are gone; the snapshot of the third merge has them.
+    log.write_text("".join(log.read_text().splitlines(keepends=True)[4:]))
+    assert A.latest_snapshot(log.parent, {})["merges"]
+    made = pipeline.train_tokenizer(spark, tokenizer(raw), "part", resume=True)
+    assert len((raw / "artifacts/tokenizer/exports" / made / "merges.txt").read_text().splitlines()) == 5
+    with pytest.raises(ValueError):
+        pipeline.train_tokenizer(spark, tokenizer(raw, min_merge_freq=3), "part", resume=True)
+    cfg = config(raw, "corpus", data={"input_paths": [str(raw / "raw")], "min_chars": 1}, artifact={"id": "mine"})
+    assert pipeline.build_corpus(spark, cfg, "r") == pipeline.build_corpus(spark, cfg, "r", resume=True) == "mine"
+    (raw / "raw/test.txt").write_text("changed\n")
+    with pytest.raises(ValueError):
+        pipeline.build_corpus(spark, cfg, "r", resume=True)
+
+
 def test_interrupted_shards_are_kept(spark, raw):
     root = raw / "artifacts"
     pipeline.build_corpus(spark, config(raw, "corpus", data={"input_paths": [str(raw / "raw")], "min_chars": 1}), "r")
