@@ -409,13 +409,6 @@ def checksum_verify(spark: SparkSession, folder: str) -> DataFrame:
     return lineage.differing(want, have, "id", "hash")
 
 
-@query("SELECT * FROM (VALUES (1, 2, 3, 256), (2, 7, 7, 257)) t(merge_idx, a, b, new_id)")
-def wal_commits(spark: SparkSession, folder: str) -> DataFrame:
-    ship(spark)
-    log = [(1, "BEGIN", 1, 2, 3, 10), (2, "COMMIT", 1, 256, None, None), (3, "BEGIN", 2, 5, 6, 9), (4, "BEGIN", 2, 7, 7, 9), (5, "COMMIT", 2, 257, None, None), (6, "BEGIN", 3, 1, 1, 4), (7, "COMMIT", 9, 300, None, None)]
-    return bpe.committed(spark.createDataFrame(log, "line int, kind string, merge_idx int, f1 int, f2 int, f3 bigint"))
-
-
 @query("WITH r AS (SELECT DISTINCT ON (seq) * FROM registry ORDER BY seq) SELECT seq, artifact_id FROM r ORDER BY seq DESC LIMIT 3")
 def keep_last_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     once = _table(spark, folder, "registry").dropDuplicates(["seq"])
@@ -464,3 +457,6 @@ def events_windows(spark: SparkSession, folder: str) -> DataFrame:
 @query("WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS new FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '30 minutes' AS session_end, count(*) AS n FROM s GROUP BY user_id, k")
 def events_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return sessions(_table(spark, folder, "events").where("user_id is not null"))
+
+
+from . import catalog_of_formats  # noqa: E402, F401  (adds its queries to QUERIES and ORACLES)
