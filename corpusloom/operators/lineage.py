@@ -43,19 +43,18 @@ def edges(registry: DataFrame) -> DataFrame:
 def closure(registry: DataFrame) -> DataFrame:
     """artifact_id, ancestor, steps: everything an artifact was made from, directly or not, by the shortest way.
 
-    Each round joins the pairs found last with the edges and keeps what is new, so the rounds end
-    with the longest of the shortest ways, in a damaged graph with cycles, too.  Lineage is cut by a
-    written table every round.
+    Each round joins the known ways with one another, which doubles their length, and keeps what is
+    new; so the rounds grow with the logarithm of the depth and end in a graph with cycles, too.
+    Lineage is cut by a written table every round.
     """
-    up = written(edges(registry).select(F.col("artifact_id").alias("_from"), F.col("input_id").alias("_to")).distinct(), "edges")
-    known = up.select(F.col("_from").alias("artifact_id"), F.col("_to").alias("ancestor"), F.lit(1).alias("steps"))
-    fresh, steps = known, 1
-    while not fresh.isEmpty():
-        steps += 1
-        further = fresh.join(up, F.col("ancestor") == F.col("_from")).select("artifact_id", F.col("_to").alias("ancestor")).distinct()
-        fresh = written(further.join(known, ["artifact_id", "ancestor"], "left_anti").withColumn("steps", F.lit(steps)), "lineage")
+    known = written(edges(registry).select("artifact_id", F.col("input_id").alias("ancestor"), F.lit(1).alias("steps")).distinct(), "edges")
+    while True:
+        on = known.select(F.col("artifact_id").alias("_from"), F.col("ancestor").alias("_to"), F.col("steps").alias("_more"))
+        further = known.join(on, F.col("ancestor") == F.col("_from")).groupBy("artifact_id", F.col("_to").alias("ancestor")).agg(F.min(F.col("steps") + F.col("_more")).alias("steps"))
+        fresh = written(further.join(known, ["artifact_id", "ancestor"], "left_anti"), "lineage")
+        if fresh.isEmpty():
+            return known
         known = known.unionByName(fresh)
-    return known
 
 
 def input_of(registry: DataFrame, artifact_id: str, input_type: str) -> DataFrame:
