@@ -67,3 +67,12 @@ def lookalike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
     b = met.select("form_key", F.col("raw_key").alias("raw_b"), F.col(id_col).alias("y"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     both = a.join(b, ["form_key", "salt"]).where(F.col("raw_a") < F.col("raw_b"))
     return both.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")).distinct()
+
+
+def lookalike_links(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, class_id, links: one row for each document whose form has several writings, and how many documents write it otherwise."""
+    keys = written(form_keys(df, id_col, text).distinct(), "form-keys")
+    writings = keys.groupBy("form_key", "raw_key").agg(F.count("*").alias("n"))
+    forms_ = writings.groupBy("form_key").agg(F.sum("n").alias("all")).join(writings, "form_key").where("all > n")
+    linked = forms_.select("form_key", "raw_key", (F.col("all") - F.col("n")).alias("links"))
+    return keys.join(linked, ["form_key", "raw_key"]).groupBy(id_col).agg(F.lower(F.hex(F.min("form_key"))).alias("class_id"), F.max("links").alias("links"))

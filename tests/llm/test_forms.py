@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from corpusloom.llm import codepoints as cp
-from corpusloom.llm import forms
+from corpusloom.llm import forms, lookalikes
 from corpusloom.llm.lookalikes import consistent_forms, lookalike_pairs
 
 
@@ -56,3 +56,11 @@ def test_hot_form_is_salted(spark, monkeypatch):
     for size in (3, 10_000):
         monkeypatch.setattr(lookalikes, "SALT_ROWS", size)
         assert {tuple(r) for r in lookalike_pairs(df).collect()} == expect
+
+
+def test_links(spark):
+    rows = [("a", "\uff21 b"), ("b", "A b"), ("c", "A b"), ("c", "A b"), ("d", "A\u00a0b"), ("e", "other"), ("f", "other"), (None, "A b"), ("g", None)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id string, text string, links int")
+    found = {r["doc_id"]: (r["class_id"], r["links"]) for r in lookalikes.lookalike_links(df).collect()}
+    assert {k: n for k, (_, n) in found.items()} == {"a": 3, "b": 2, "c": 2, "d": 3} and len({c for c, _ in found.values()}) == 1
+    assert lookalikes.lookalike_links(df.where("false")).count() == 0
