@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog_of_queries import COUNTS, DOCS, DOCS_PER_SHARD, MERGES, MIN_CHARS, ORACLES, PATTERN, RE2, REG, SEQ_LEN, SPECIALS, WRAPPED, _clean, _documents, _hex, _id, _merge_sql, _table, _tokens, _words, query
+from .catalog_of_queries import COUNTS, DOCS, DOCS_PER_SHARD, LONG, MERGES, MIN_CHARS, ONE, ORACLES, PATTERN, RE2, REG, SEQ_LEN, SPECIALS, SPLIT, WRAPPED, _clean, _documents, _hex, _id, _merge_sql, _table, _tokens, _words, query
 from .functions import text as T
 from .operators import bpe, corpus, evaluation, lineage, pieces, shards
 from .operators.prefix import ordinal
@@ -335,6 +335,12 @@ def sample_of_lines(spark: SparkSession, folder: str) -> DataFrame:
     return once.join(again, F.col("doc_id") == F.col("same")).agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"))
 
 
+@query(f"WITH {DOCS}, {LONG}, {ONE}, o AS (SELECT {SPLIT} AS split, length, coalesce(sum(length) OVER w, 0) AS p, sum(length) OVER (PARTITION BY {SPLIT}) AS total FROM one WINDOW w AS (PARTITION BY {SPLIT} ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT split, CAST(p // {SEQ_LEN} AS BIGINT) AS block_id, string_agg(CAST(CAST(p % {SEQ_LEN} AS INT) AS VARCHAR), ',' ORDER BY p) AS starts FROM o WHERE p // {SEQ_LEN} < total // {SEQ_LEN} GROUP BY ALL")
+def packed_boundaries(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _tokens(spark, folder).select("doc_id", F.size("tokens").alias("length"), shards.split_name(F.col("doc_id"), 10, 0).alias("split"))
+    return shards.block_boundaries(docs, SEQ_LEN, ["doc_id"]).select("split", "block_id", F.array_join("starts", ",").alias("starts"))
+
+
 # ---- artifacts and stages
 
 KINDS = "k AS (SELECT DISTINCT artifact_type AS t, sha256('{\"type\":\"' || artifact_type || '\"}') AS h FROM registry)"
@@ -412,3 +418,21 @@ def streamed_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name).select("piece", "freq")
 
 
+# ---- evaluation
+
+_LOSS = "ln(1 + abs(value))"
+
+
+@query(f"SELECT round(avg({_LOSS}), 6) AS eval_loss, round(exp(avg({_LOSS})), 4) AS perplexity, count(value) AS num_samples FROM events")
+def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The one-row report as its JSON file has it."""
+    report = evaluation.perplexity(_table(spark, folder, "events").select(F.log(1 + F.abs("value")).alias("loss")))
+    where = Path(_work(spark, "eval"))
+    interchange.write_evaluation(where, report, ["a sample"])
+    found = spark.read.schema("eval_loss double, perplexity double, num_samples bigint").option("multiLine", True).json(str(where / "eval.json"))
+    return found.select(F.round("eval_loss", 6).alias("eval_loss"), F.round("perplexity", 4).alias("perplexity"), "num_samples")
+
+
+@query("SELECT event_id, round(avg(value) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 4) AS mean FROM events")
+def metric_means(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluation.smoothed(_table(spark, folder, "events"), 10, "event_type", "event_id", "value").select("event_id", F.round("mean", 4).alias("mean"))

@@ -69,6 +69,19 @@ def packed_blocks(docs: DataFrame, seq_len: int, order: list[str], tokens: str =
     return blocks.select("split", "block_id", F.flatten(F.transform("ps", lambda p: p["part"])).alias("tokens")).where(F.size("tokens") == n)
 
 
+def block_boundaries(docs: DataFrame, seq_len: int, order: list[str], length: str = "length") -> DataFrame:
+    """split, block_id, starts: where documents begin inside each whole block, for masks that keep documents apart.
+
+    Only lengths are needed.  A block in which no document begins has no row; empty documents have no start.
+    """
+    n = int(seq_len)
+    sized = docs.select("split", *order, F.col(length).cast("bigint").alias("_n")).where("_n > 0")
+    placed = running_sum(sized, F.col("_n"), order, ["split"], name="_at")
+    whole = placed.groupBy(F.col("split").alias("_split")).agg(F.max(F.expr(f"(_at + _n) div {n}")).alias("_blocks"))
+    starts = placed.groupBy("split", F.expr(f"_at div {n}").alias("block_id")).agg(F.array_sort(F.collect_list(F.expr(f"cast(_at % {n} as int)"))).alias("starts"))
+    return starts.join(whole, (F.col("split") == F.col("_split")) & (F.col("block_id") < F.col("_blocks"))).select("split", "block_id", "starts")
+
+
 def require_blocks(blocks: DataFrame, seq_len: int) -> DataFrame:
     """The blocks, each checked for its size."""
     bad = F.raise_error(F.concat(F.lit("block of "), F.size("tokens").cast("string"), F.lit(f" tokens, expected {seq_len}"))).cast("array<int>")

@@ -7,6 +7,7 @@ from ..functions.text import FORMS
 # The special tokens a vocabulary has by default.
 SPECIALS = ["<|endoftext|>", "</s>", "<eos>", "<s>", "<bos>", "<pad>", "<unk>", "<|system|>", "<|user|>", "<|assistant|>", "<|im_start|>", "<|im_end|>", "<|endofmessage|>", "<|sep|>", "<|summarize|>", "<|translate|>", "<|code|>", "<mask>", "<fim_prefix>", "<fim_middle>", "<fim_suffix>", "<|title|>", "<|url|>", "<|date|>", "<|tool|>", "<|function_call|>"]
 
+# The settings each stage has by default.
 CORPUS = {"artifacts_root": "artifacts", "run": {"output_dir": "artifacts/runs/corpus"}, "artifact": {"id": None}, "data": {"input_paths": [], "input_format": "text", "jsonl_text_field": "text", "decode_errors": "replace", "normalize": "none", "collapse_whitespace": True, "min_chars": 20, "max_docs": None}}
 DEDUP = {"artifacts_root": "artifacts", "run": {"output_dir": "artifacts/runs/dedup"}, "artifact": {"id": None}, "input": {"corpus_id": None}}
 TOKENIZER = {
@@ -26,31 +27,31 @@ PACKED = {"artifacts_root": "artifacts", "run": {"output_dir": "artifacts/runs/p
 def check_corpus(cfg: dict) -> None:
     data = cfg["data"]
     if data["normalize"] not in FORMS:
-        raise ValueError(f"data.normalize must be one of {FORMS}")
+        raise ValueError(f"data.normalize: {data['normalize']!r} is none of {', '.join(FORMS)}")
     _common(data)
 
 
 def _common(data: dict) -> None:
     if data["input_format"] not in ("text", "jsonl"):
-        raise ValueError("data.input_format must be text or jsonl")
+        raise ValueError("data.input_format: only text and jsonl can be read")
     if data["decode_errors"] not in ("strict", "replace", "ignore"):
-        raise ValueError("data.decode_errors must be strict, replace or ignore")
+        raise ValueError("data.decode_errors: strict, replace and ignore are the ways to treat bad bytes")
     if not data["input_paths"]:
-        raise ValueError("data.input_paths must not be empty")
+        raise ValueError("data.input_paths names no input")
 
 
 def check_tokenizer(cfg: dict) -> None:
     data, bpe = cfg["data"], cfg["bpe"]
     _common(data)
     if data["normalize"] not in ("none", "NFC", "NFKC"):
-        raise ValueError("data.normalize must be none, NFC or NFKC")
+        raise ValueError("data.normalize: a tokenizer takes none, NFC or NFKC")
     if cfg["special_tokens"]["placement"] not in ("start", "end"):
-        raise ValueError("special_tokens.placement must be start or end")
+        raise ValueError("special_tokens.placement: ids of special tokens come at the start or at the end")
     if bpe["tie_break"] != "lexicographic":
-        raise ValueError("bpe.tie_break must be lexicographic")
+        raise ValueError("bpe.tie_break: ties can only be broken lexicographically")
     for where, key, least, optional in ((data, "max_bytes", 0, True), (data, "max_lines", 0, True), (data, "max_unique_pieces", 1, True), (bpe, "vocab_size", 256, False), (bpe, "max_merges", 0, True), (bpe, "max_word_types", 1, False), (cfg["checkpointing"], "wal_fsync_every_commits", 0, False)):
         value = where.get(key)
         if value is None and optional:
             continue
         if value is None or int(value) < least:
-            raise ValueError(f"{key} must be at least {least}")
+            raise ValueError(f"{key} is {value!r}, the least is {least}")

@@ -2,19 +2,47 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_folders: dict[str, str] = {}  # of each application
+
+
+def _base(spark: SparkSession) -> str:
+    """This application's own folder in the one all executors share; it goes when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            # Driver and executors are one machine.
+            base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
+        _folders[app] = f"{base.rstrip('/')}/corpusloom-{app}"
+        atexit.register(clear, spark)
+    return _folders[app]
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes what this application wrote to its work folder; results that still read from there are lost."""
+    path = _folders.pop(spark.sparkContext.applicationId, None)
+    if path is None:
+        return
+    with contextlib.suppress(Exception):  # the session may be gone
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    if path.startswith("file:"):
+        shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share: spark.checkpoint.dir of the session, where set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        # Unset only in local runs and tests, where driver and executors are one machine.
-        base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -33,3 +61,8 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
+
+
+def release(spark: SparkSession) -> None:
+    """Has the shuffle files of finished jobs deleted now; Spark does so once the driver's JVM has collected their plans."""
+    spark._jvm.System.gc()

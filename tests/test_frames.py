@@ -105,3 +105,13 @@ def test_evaluation(spark):
     assert [r["merge_index"] for r in evaluation.keep_last(snaps, 2).collect()] == [3, 2]
     texts = spark.createDataFrame([(f"l{i}",) for i in range(30)], "text string")
     assert evaluation.sample_lines(texts, 7).collect() == evaluation.sample_lines(texts.repartition(3), 7).collect()
+
+
+def test_block_boundaries(spark):
+    from corpusloom.operators import shards
+
+    rows = [("a", "train", 3), ("b", "train", 0), ("c", "train", 6), ("d", "train", 2), ("e", "val", 3), ("f", "train", None)]
+    docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id string, split string, length int, block_id int")
+    got = {(r["split"], r["block_id"]): r["starts"] for r in shards.block_boundaries(docs, 4, ["doc_id"]).collect()}
+    assert got == {("train", 0): [0, 3]}
+    assert shards.block_boundaries(docs.where("false"), 4, ["doc_id"]).count() == 0
