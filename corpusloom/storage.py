@@ -45,12 +45,24 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Has Spark delete the shuffle files of a finished execution; without it they stay until the driver's JVM collects its plan.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """The rows written to the shared folder and read again: cuts lineage, survives lost executors."""
-    path = shared_folder(df.sparkSession, name)
-    writer = df.write.mode("errorifexists").option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written to the shared folder and read again: cuts lineage, survives lost executors.
+
+    The shuffle files behind them go with the write, as nothing reads them any more.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        writer = df.write.mode("errorifexists").option("compression", "zstd")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -61,8 +73,3 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
-
-
-def release(spark: SparkSession) -> None:
-    """Has the shuffle files of finished jobs deleted now; Spark does so once the driver's JVM has collected their plans."""
-    spark._jvm.System.gc()
