@@ -24,16 +24,20 @@ def _base(spark: SparkSession) -> str:
             # Driver and executors are one machine.
             base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         _folders[app] = f"{base.rstrip('/')}/corpusloom-{app}"
-        atexit.register(clear, spark)
+        atexit.register(_clear, app, spark)
     return _folders[app]
 
 
 def clear(spark: SparkSession) -> None:
     """Deletes what this application wrote to its work folder; results that still read from there are lost."""
-    path = _folders.pop(spark.sparkContext.applicationId, None)
+    _clear(spark.sparkContext.applicationId, spark)
+
+
+def _clear(app: str, spark: SparkSession) -> None:
+    path = _folders.pop(app, None)
     if path is None:
         return
-    with contextlib.suppress(Exception):  # the session may be gone
+    with contextlib.suppress(Exception):  # the session may have ended
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     if path.startswith("file:"):

@@ -115,3 +115,17 @@ def test_block_boundaries(spark):
     got = {(r["split"], r["block_id"]): r["starts"] for r in shards.block_boundaries(docs, 4, ["doc_id"]).collect()}
     assert got == {("train", 0): [0, 3]}
     assert shards.block_boundaries(docs.where("false"), 4, ["doc_id"]).count() == 0
+
+
+def test_work_folders(spark):
+    from pathlib import Path
+
+    from corpusloom import storage
+
+    before = spark.conf.get(storage.CLEANUP, None)
+    table = storage.written(spark.range(10).repartition(3), "numbers")
+    base = Path(storage._base(spark).removeprefix("file://"))
+    assert table.count() == 10 and base.is_dir() and spark.conf.get(storage.CLEANUP, None) == before
+    storage.clear(spark)
+    assert not base.exists()
+    assert storage.written(spark.range(3), "numbers").count() == 3  # a new folder
